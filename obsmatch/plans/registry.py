@@ -40,4 +40,4 @@ def sub(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 
 # Import the modules that register queries.
-from obsmatch.plans import queries_gold, queries_merge, queries_quality, queries_silver  # noqa: E402,F401
+from obsmatch.plans import queries_gold, queries_merge, queries_quality, queries_silver, queries_sources  # noqa: E402,F401
