@@ -70,7 +70,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/obsmatch-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives executor loss and its lineage is cut."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint folder and
+    reading it back.
+
+    One computation (``Dataset.checkpoint`` without a cache computes the plan twice), the
+    result survives executor loss, and the optimizer gets the real size of the table for its
+    join choices.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
