@@ -21,8 +21,6 @@ DECIMAL_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 COMPACT_TS_PATTERN = r"^[0-9]{12}$"
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-_MICROS_PER_HOUR = 3_600_000_000
 
 
 def _col(c: Column | str) -> Column:
@@ -102,9 +100,11 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
 
 
 def hour_index(ts: Column | str) -> Column:
-    """Hours since 1970-01-01 (floor), exact for zone-less timestamps of any sign."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _col(ts))
-    return F.floor(micros / F.lit(_MICROS_PER_HOUR))
+    """Hours since 1970-01-01 (floor) from the calendar fields: no time zone is involved, so
+    equal wall-clock hours always share a bucket, for timestamps of any sign."""
+    ts = _col(ts)
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date"))
+    return days.cast("bigint") * 24 + F.hour(ts)
 
 
 def url_filename(url: Column | str) -> Column:

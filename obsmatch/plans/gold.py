@@ -3,11 +3,12 @@ station and that station's nearest observation within the tolerance.
 
 Plan, with the shuffles it costs:
 
-1. Distinct stations from the weather table (partial aggregate before the shuffle), checkpointed.
+1. Distinct stations from the weather table (partial aggregate before the shuffle), written once
+   as a table; the same write observes their count and the cell-size statistics.
 2. Nearest station per accident: cell candidates joined to the accidents -- broadcast when the
    candidate rows are under a checked bound -- then ``array_min`` in place (``nearest``).
-3. Accidents with their station are checkpointed: they feed both the matches and the
-   sentinels of the as-of step, and their row count decides the broadcast below.
+3. Accidents with their station are written once as a table: they feed both the matches and
+   the sentinels of the as-of step; the write observes their count and time range.
 4. The weather rows are pruned before any shuffle: a timestamp range from the accidents'
    min/max (pushed to the Parquet scan) and a semi-join on the stations actually chosen.
 5. As-of by hour buckets; per accident ``min(struct)`` -- one shuffle on ``accident_id``.
@@ -20,11 +21,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsmatch.functions.expr import is_finite
 from obsmatch.operators.asof import DEFAULT_BROADCAST_MAX_ROWS, nearest_in_time
-from obsmatch.operators.nearest import nearest
+from obsmatch.operators.nearest import PreparedSites, nearest, prepare_sites
 from obsmatch.schemas import ACCIDENT_COLUMNS, GOLD_COLUMNS, WEATHER_VALUES
-from obsmatch.session import materialize
+from obsmatch.session import materialize_observed
 
 STATION_COLUMNS = ["station_id", "station_name", "latitude", "longitude"]
 # Fixed value of the reference: an observation may be up to two hours before or after.
@@ -42,7 +42,13 @@ def stations(weather: DataFrame) -> DataFrame:
     )
 
 
-def nearest_station(accidents: DataFrame, station_rows: DataFrame, *, edge: float | None = None) -> DataFrame:
+def prepare_stations(station_rows: DataFrame, edge: float | None = None) -> PreparedSites:
+    return prepare_sites(station_rows, "latitude", "longitude", ["station_id", "station_name"], edge)
+
+
+def nearest_station(
+    accidents: DataFrame, station_rows: DataFrame | PreparedSites, *, edge: float | None = None
+) -> DataFrame:
     """Accidents with a position, each with its nearest station (ties: station_id, name, position).
 
     Output: accident columns, ``station_id, station_name, distance_to_station_m, _s_lat, _s_lon``.
@@ -80,19 +86,23 @@ def accident_weather(
 ) -> DataFrame:
     """The Gold table: 18 columns in the reference's order, one row per accident id."""
     accidents = accidents.select(*ACCIDENT_COLUMNS)
-    station_rows = materialize(stations(weather))
-    n_stations = station_rows.count()
-
-    acc = materialize(nearest_station(accidents, station_rows, edge=edge))
-    n_acc = acc.count()
+    prepared = prepare_stations(stations(weather), edge)
+
+    acc, m = materialize_observed(
+        nearest_station(accidents, prepared),
+        F.count(F.lit(1)).alias("n"),
+        F.min("accident_timestamp").alias("lo"),
+        F.max("accident_timestamp").alias("hi"),
+        name="accidents_with_station",
+    )
+    n_acc = int(m["n"])
 
     obs = weather.select("station_id", "observation_timestamp", *WEATHER_VALUES)
-    bounds = acc.agg(F.min("accident_timestamp").alias("lo"), F.max("accident_timestamp").alias("hi")).first()
-    if bounds is not None and bounds["lo"] is not None:
+    if m["lo"] is not None:
         pad = dt.timedelta(minutes=tolerance_minutes)
-        obs = obs.where(F.col("observation_timestamp").between(F.lit(bounds["lo"] - pad), F.lit(bounds["hi"] + pad)))
+        obs = obs.where(F.col("observation_timestamp").between(F.lit(m["lo"] - pad), F.lit(m["hi"] + pad)))
     chosen = acc.select("station_id").distinct()
-    if n_stations <= STATION_BROADCAST_MAX:
+    if prepared.count <= STATION_BROADCAST_MAX:
         chosen = F.broadcast(chosen)
     obs = obs.join(chosen, "station_id", "left_semi")
 
@@ -112,7 +122,3 @@ def accident_weather(
         broadcast_max_rows=broadcast_max_rows,
     )
     return matched.select(*GOLD_COLUMNS)
-
-
-def finite_coordinates(df: DataFrame) -> DataFrame:
-    return df.where(is_finite("latitude") & is_finite("longitude"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SQL_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
@@ -70,6 +70,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/obsmatch-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def materialize_observed(df: DataFrame, *metrics: Column, name: str = "table") -> tuple[DataFrame, dict]:
+    """``materialize`` that also returns aggregate ``metrics`` computed while writing, so row
+    counts and bounds cost no extra pass over the data."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"obsmatch-{uuid.uuid4().hex}")
+    df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), dict(obs.get)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint folder and
     reading it back.
