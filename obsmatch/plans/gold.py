@@ -7,30 +7,26 @@ Plan, with the shuffles it costs:
    as a table; the same write observes their count and the cell-size statistics.
 2. Nearest station per accident: cell candidates joined to the accidents -- broadcast when the
    candidate rows are under a checked bound -- then ``array_min`` in place (``nearest``).
-3. Accidents with their station are written once as a table: they feed both the matches and
-   the sentinels of the as-of step; the write observes their count and time range.
-4. The weather rows are pruned before any shuffle: a timestamp range from the accidents'
-   min/max (pushed to the Parquet scan) and a semi-join on the stations actually chosen.
-5. As-of by hour buckets; per accident ``min(struct)`` -- one shuffle on ``accident_id``.
+3. One row per accident id (SURVEY Q10/Q11), written once as a table; the write observes the
+   row count and the time range.
+4. The weather rows are pruned before any shuffle: that time range (pushed to the Parquet
+   scan) and a semi-join on the stations actually chosen.
+5. As-of by hour buckets on narrow pairs, reduced per id before the shuffle; the accident row
+   joins back once.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsmatch.operators.asof import DEFAULT_BROADCAST_MAX_ROWS, nearest_in_time
 from obsmatch.operators.nearest import PreparedSites, nearest, prepare_sites
 from obsmatch.schemas import ACCIDENT_COLUMNS, GOLD_COLUMNS, WEATHER_VALUES
-from obsmatch.session import materialize_observed
 
 STATION_COLUMNS = ["station_id", "station_name", "latitude", "longitude"]
 # Fixed value of the reference: an observation may be up to two hours before or after.
 TOLERANCE_MINUTES = 120
-# Station ids that may be broadcast for the semi-join that prunes the weather scan.
-STATION_BROADCAST_MAX = 1_000_000
 
 
 def stations(weather: DataFrame) -> DataFrame:
@@ -87,28 +83,9 @@ def accident_weather(
     """The Gold table: 18 columns in the reference's order, one row per accident id."""
     accidents = accidents.select(*ACCIDENT_COLUMNS)
     prepared = prepare_stations(stations(weather), edge)
-
-    acc, m = materialize_observed(
-        nearest_station(accidents, prepared),
-        F.count(F.lit(1)).alias("n"),
-        F.min("accident_timestamp").alias("lo"),
-        F.max("accident_timestamp").alias("hi"),
-        name="accidents_with_station",
-    )
-    n_acc = int(m["n"])
-
-    obs = weather.select("station_id", "observation_timestamp", *WEATHER_VALUES)
-    if m["lo"] is not None:
-        pad = dt.timedelta(minutes=tolerance_minutes)
-        obs = obs.where(F.col("observation_timestamp").between(F.lit(m["lo"] - pad), F.lit(m["hi"] + pad)))
-    chosen = acc.select("station_id").distinct()
-    if prepared.count <= STATION_BROADCAST_MAX:
-        chosen = F.broadcast(chosen)
-    obs = obs.join(chosen, "station_id", "left_semi")
-
     matched = nearest_in_time(
-        acc,
-        obs,
+        nearest_station(accidents, prepared),
+        weather.select("station_id", "observation_timestamp", *WEATHER_VALUES),
         left_id="accident_id",
         by="station_id",
         left_ts="accident_timestamp",
@@ -118,7 +95,6 @@ def accident_weather(
         rank_prefix=["distance_to_station_m", "station_id", "station_name", "_s_lat", "_s_lon"],
         diff_col="weather_time_difference_minutes",
         ts_out="weather_timestamp",
-        left_rows=n_acc,
         broadcast_max_rows=broadcast_max_rows,
     )
     return matched.select(*GOLD_COLUMNS)
