@@ -120,3 +120,29 @@ def initial_load(spark: SparkSession, sf: str) -> DataFrame:
     (s,) = sub(spark, sf, "STG_A")
     _, counts = U.upsert(None, s, ACCIDENT_KEYS, ACCIDENT_ATTRS)
     return counts
+
+
+_DIFF_ANY = " OR ".join(f"t.{a} IS DISTINCT FROM s.{a}" for a in ACCIDENT_ATTRS)
+
+
+@register(
+    "fn_null_safe_diff",
+    with_sql(("TGT_A", "STG_A"))
+    + f"""SELECT t.accident_id, t.latitude IS DISTINCT FROM s.latitude AS latitude_changed,
+       ({_DIFF_ANY}) AS any_changed
+FROM TGT_A t JOIN STG_A s ON t.accident_id = s.accident_id""",
+)
+def fn_null_safe_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """FN-21: ``IS DISTINCT FROM`` per matched key (null vs value, value vs null, equal nulls)."""
+    from obsmatch.functions.expr import null_safe_diff
+
+    t, s = sub(spark, sf, "TGT_A", "STG_A")
+    j = t.alias("t").join(s.alias("s"), F.col("t.accident_id") == F.col("s.accident_id"))
+    any_changed = F.lit(False)
+    for a in ACCIDENT_ATTRS:
+        any_changed = any_changed | null_safe_diff(F.col(f"t.{a}"), F.col(f"s.{a}"))
+    return j.select(
+        F.col("t.accident_id").alias("accident_id"),
+        null_safe_diff(F.col("t.latitude"), F.col("s.latitude")).alias("latitude_changed"),
+        any_changed.alias("any_changed"),
+    )

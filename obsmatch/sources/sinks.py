@@ -42,6 +42,12 @@ def write_partitioned(
     writer.parquet(path)
 
 
+def ensure_namespaces(spark: SparkSession, names: Sequence[str]) -> None:
+    """SNK-5: create each database (namespace) if absent."""
+    for name in names:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+
+
 class _FS:
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark.sparkContext._jvm
