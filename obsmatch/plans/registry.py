@@ -37,7 +37,3 @@ def with_sql(substrates: tuple[str, ...], *ctes: str) -> str:
 
 def sub(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [substrate(spark, sf_dir, n) for n in names]
-
-
-# Import the modules that register queries.
-from obsmatch.plans import queries_gold, queries_merge, queries_quality, queries_silver, queries_sources  # noqa: E402,F401
