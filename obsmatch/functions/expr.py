@@ -6,8 +6,6 @@ whole-stage code generation; nothing here runs Python per row.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -90,10 +88,6 @@ def unit_vector(lat: Column | str, lon: Column | str) -> tuple[Column, Column, C
     return F.cos(p) * F.cos(lam), F.cos(p) * F.sin(lam), F.sin(p)
 
 
-def chord_to_metres(chord: float) -> float:
-    return 2 * EARTH_RADIUS_M * math.asin(min(1.0, chord / 2))
-
-
 def minutes_between(start: Column | str, end: Column | str) -> Column:
     """Whole minutes from ``start`` to ``end``, truncated toward zero."""
     return F.timestamp_diff("MINUTE", _col(start), _col(end))

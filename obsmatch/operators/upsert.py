@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 
 from obsmatch.functions.expr import null_safe_diff
 
-ACTIONS = ("insert", "update", "unchanged", "untouched")
-
-
 def _any(cols: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, cols, F.lit(False))
 
