@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from obsmatch.plans import gold, silver
 from obsmatch.schemas import ACCIDENT_ATTRS, ACCIDENT_KEYS, WEATHER_ATTRS, WEATHER_KEYS
+from obsmatch.session import scratch_scope
 from obsmatch.sources.delimited import read_delimited
 from obsmatch.sources.sinks import VersionedTable, merge_into, write_partitioned
 
@@ -69,5 +70,6 @@ def load_and_build_gold(
     acc_counts = merge_into(acc, silver_accidents.select(*ACCIDENT_KEYS, *ACCIDENT_ATTRS), ACCIDENT_KEYS, ACCIDENT_ATTRS)
     wea_counts = merge_into(wea, silver_weather.select(*WEATHER_KEYS, *WEATHER_ATTRS), WEATHER_KEYS, WEATHER_ATTRS)
     g = VersionedTable(spark, gold_table)
-    version = g.replace(gold.accident_weather(acc.read(), wea.read()))
+    with scratch_scope(spark):
+        version = g.replace(gold.accident_weather(acc.read(), wea.read()))
     return {"accidents": acc_counts, "weather": wea_counts, "gold_version": version}

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -65,9 +67,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCOPE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/obsmatch-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder under the shared checkpoint folder (inside the current
+    ``scratch_scope`` when there is one)."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/obsmatch-scratch"
+    if _SCOPE:
+        base = f"{base}/{_SCOPE[-1]}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside the block are deleted when it ends. For jobs whose
+    results are written before the block closes; lazy results must not escape it."""
+    scope = f"scope-{uuid.uuid4().hex}"
+    _SCOPE.append(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.pop()
+        root = f"{checkpoint_dir(spark).rstrip('/')}/obsmatch-scratch/{scope}"
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            fs.delete(path, True)
 
 
 def materialize_observed(df: DataFrame, *metrics: Column, name: str = "table") -> tuple[DataFrame, dict]:

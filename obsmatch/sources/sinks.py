@@ -194,7 +194,7 @@ def merge_partitions(
     from pyspark.sql import functions as F
 
     from obsmatch.operators.upsert import next_state, plan
-    from obsmatch.session import scratch_path
+    from obsmatch.session import scratch_path, scratch_scope
 
     parts = list(partition_cols)
     fs = _FS(spark, path)
@@ -237,14 +237,15 @@ def merge_partitions(
         ),
         staging.columns,
     )
-    merged_path = scratch_path(spark, "merged_partitions")
-    state.write.mode("overwrite").parquet(merged_path)
-    c = {k: int(v) for k, v in obs.get.items()}
-    if c["affected"] > 0:
-        previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            write_partitioned(spark.read.parquet(merged_path), path, parts)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    with scratch_scope(spark):
+        merged_path = scratch_path(spark, "merged_partitions")
+        state.write.mode("overwrite").parquet(merged_path)
+        c = {k: int(v) for k, v in obs.get.items()}
+        if c["affected"] > 0:
+            previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+            try:
+                write_partitioned(spark.read.parquet(merged_path), path, parts)
+            finally:
+                spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
     return c
