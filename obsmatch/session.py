@@ -49,6 +49,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a small input over all cores before CPU-heavy per-row work.
+
+    A small file is one split, so without this the per-point work of a small input runs in one
+    task. Large inputs (estimated size above one split per core) are returned unchanged, so at
+    scale no shuffle is added. The estimate is Catalyst's, taken without running anything.
+    """
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): leave the input as is
+        return df
+    return df.repartition(par) if size < split * par else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
