@@ -11,7 +11,8 @@ on the keys once; the staging window below reuses that partitioning) with an act
 A target row that more than one staging row would update is an error, as in the reference's
 warehouse; several equal staging rows for one target row keep it once. ``counts`` gives the
 affected rows (insert + update) from the same plan, so a replay reports 0 and
-``sinks.merge_into`` then publishes no new version. Rows with a null key bypass the join.
+``sinks.merge_into`` then publishes no new version. Rows with a null key are salted so that they
+cannot gather in one task.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from pyspark.sql import functions as F
 
 from obsmatch.functions.expr import null_safe_diff
 
+# Partitions over which rows with a null key are scattered.
+NULL_KEY_SPREAD = 4096
+
 def _any(cols: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, cols, F.lit(False))
 
@@ -34,19 +38,24 @@ def plan(target: DataFrame, staging: DataFrame, keys: Sequence[str], attrs: Sequ
     missing = [c for c in [*keys, *attrs] if c not in cols or c not in staging.columns]
     if missing:
         raise ValueError(f"upsert columns missing: {missing}")
-    # Null keys never match. Such rows go around the join: all of them would otherwise hash to
-    # one partition of the full outer join and of the staging window (a hot key AQE cannot split).
-    any_null = _any([F.col(k).isNull() for k in keys])
-    # The window is keyed like the join (on the renamed keys), so one exchange serves both.
-    by_key = Window.partitionBy(*[f"s_{k}" for k in keys])
-    s = staging.where(~any_null).select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_s"))
+    # Null keys never match, but they all hash to one partition of the join and of the staging
+    # window: a hot key AQE cannot split in a full outer join. A salt that is 0 for real keys and
+    # spread for null keys keeps matching unchanged and scatters those rows.
+    def salt() -> Column:
+        any_null = _any([F.col(k).isNull() for k in keys])
+        spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(NULL_KEY_SPREAD))
+        return F.when(any_null, spread).otherwise(F.lit(0)).cast("int")
+
+    s = staging.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_s"), salt().alias("_ss"))
+    # The window is keyed like the join (renamed keys and salt), so one exchange serves both.
+    by_key = Window.partitionBy(*[f"s_{k}" for k in keys], "_ss")
     s = s.select(
         "*",
         F.count(F.lit(1)).over(by_key).alias("_n"),
         F.row_number().over(by_key.orderBy(*[F.col(f"s_{a}").asc_nulls_first() for a in attrs])).alias("_rn"),
     )
-    t = target.where(~any_null).select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
-    on = reduce(lambda a, b: a & b, [t[f"t_{k}"] == s[f"s_{k}"] for k in keys])
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"), salt().alias("_ts"))
+    on = reduce(lambda a, b: a & b, [t[f"t_{k}"] == s[f"s_{k}"] for k in keys], t["_ts"] == s["_ss"])
     j = t.join(s, on, "full_outer")
 
     matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
@@ -59,26 +68,7 @@ def plan(target: DataFrame, staging: DataFrame, keys: Sequence[str], attrs: Sequ
         .otherwise(F.lit("untouched"))
     )
     # Several equal staging rows for one target row: the target row is kept once.
-    planned = j.where(~matched | changed | (F.col("_rn") == 1)).withColumn("_action", action)
-
-    t_cols = [f"t_{c}" for c in cols]
-    s_cols = [f"s_{c}" for c in cols]
-    null_s = staging.where(any_null).select(
-        *[F.lit(None).cast(target.schema[c].dataType).alias(f"t_{c}") for c in cols],
-        F.lit(None).cast("boolean").alias("_t"),
-        *[F.col(c).alias(f"s_{c}") for c in cols],
-        F.lit(True).alias("_s"), F.lit(1).cast("bigint").alias("_n"), F.lit(1).alias("_rn"),
-        F.lit("insert").alias("_action"),
-    )
-    null_t = target.where(any_null).select(
-        *[F.col(c).alias(f"t_{c}") for c in cols],
-        F.lit(True).alias("_t"),
-        *[F.lit(None).cast(staging.schema[c].dataType).alias(f"s_{c}") for c in cols],
-        F.lit(None).cast("boolean").alias("_s"), F.lit(None).cast("bigint").alias("_n"), F.lit(None).cast("int").alias("_rn"),
-        F.lit("untouched").alias("_action"),
-    )
-    order = [*t_cols, "_t", *s_cols, "_s", "_n", "_rn", "_action"]
-    return planned.select(*order).unionByName(null_s.select(*order)).unionByName(null_t.select(*order))
+    return j.where(~matched | changed | (F.col("_rn") == 1)).withColumn("_action", action).drop("_ss", "_ts")
 
 
 def next_state(planned: DataFrame, columns: Sequence[str]) -> DataFrame:
