@@ -57,3 +57,15 @@ def null_percentages(df: DataFrame, empty_as_null: bool = True) -> DataFrame | N
     return df.agg(
         *[F.round(F.avg(_value(df, c, empty_as_null).isNull().cast("double")) * 100, 2).alias(c) for c in cols]
     )
+
+
+def report(df: DataFrame, empty_as_null: bool = True) -> dict[str, DataFrame]:
+    """PRF-1: every section of the profile whose columns are present, by name."""
+    sections = {
+        "shape": shape(df),
+        "stations": stations(df),
+        "date_range": date_range(df),
+        "non_null": non_null_counts(df, empty_as_null),
+        "null_pct": null_percentages(df, empty_as_null),
+    }
+    return {k: v for k, v in sections.items() if v is not None}

@@ -137,3 +137,17 @@ def violation_sample(gold: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     allv = parts[0].unionByName(parts[1]).unionByName(parts[2])
     w = Window.partitionBy("check").orderBy(F.col("accident_id").asc_nulls_first())
     return allv.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def run_checks(
+    gold: DataFrame, checks: list[tuple[str, str]] | None = None, sample_rows: int = SAMPLE_ROWS
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """DQ-6 runner: the summary, and per check its result (violation checks limited to the first
+    ``sample_rows`` ids, by id). Nothing is collected; the caller decides what to print or fail."""
+    checks = checks or CHECKS
+    summary_df = summary(gold, checks)
+    results: dict[str, DataFrame] = {}
+    for name, kind in checks:
+        df = CHECK_FUNCTIONS[name](gold)
+        results[name] = df.orderBy(F.col("accident_id").asc_nulls_first()).limit(sample_rows) if kind == "violations" else df
+    return summary_df, results

@@ -35,3 +35,17 @@ def test_empty_gold(spark):
     assert all(r["passed"] for r in quality.summary(g).collect())
     assert quality.matching_coverage(g).first()["matching_rate_pct"] is None
     assert quality.weather_completeness(g).first()["temperature_null_pct"] is None
+
+
+def test_run_checks_and_profile_report(spark):
+    from obsmatch.operators import profile
+
+    g = spark.createDataFrame([row("dup"), row("dup"), row("lat", lat=91.0)], SCHEMA)
+    s, results = quality.run_checks(g)
+    assert [r["check"] for r in s.orderBy("pos").collect()] == [c for c, _ in quality.CHECKS]
+    assert [r["accident_id"] for r in results["duplicate_accidents"].collect()] == ["dup"]
+    raw = spark.createDataFrame([("1", "S", "45", "1", "2024010100", "", "3")], "NUM_POSTE string, NOM_USUEL string, LAT string, LON string, AAAAMMJJHH string, T string, FF string")
+    rep = profile.report(raw)
+    assert set(rep) == {"shape", "stations", "date_range", "non_null", "null_pct"}
+    assert rep["non_null"].columns == ["FF", "T"] and tuple(rep["non_null"].first()) == (1, 0)
+    assert set(profile.report(raw.select("T"))) == {"shape", "non_null", "null_pct"}
