@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SQL_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,7 +51,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a small input over all cores before CPU-heavy per-row work.
+    """Spread a small input over all cores before CPU-heavy per-row work.
 
     A small file is one split, so without this the per-point work of a small input runs in one
     task. Large inputs (estimated size above one split per core) are returned unchanged, so at
@@ -63,7 +64,11 @@ def spread(df: DataFrame) -> DataFrame:
         split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): leave the input as is
         return df
-    return df.repartition(par) if size < split * par else df
+    if size >= split * par:
+        return df
+    # Hash of the whole row: deterministic under task retries without the sort that a
+    # round-robin repartition needs for that.
+    return df.repartition(par, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
