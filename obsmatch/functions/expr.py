@@ -6,6 +6,8 @@ whole-stage code generation; nothing here runs Python per row.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -117,6 +119,12 @@ def first_non_empty(*cols: Column | str) -> Column:
     return F.coalesce(*[F.nullif(_col(c), F.lit("")) for c in cols], F.lit(""))
 
 
+def ntz_literal(value: dt.datetime) -> Column:
+    """A zone-less timestamp literal from a naive datetime, independent of any time zone
+    (``F.lit`` on a datetime goes through the Python process's local zone)."""
+    return F.expr(f"TIMESTAMP_NTZ'{value.isoformat(sep=' ')}'")
+
+
 def is_finite(c: Column | str) -> Column:
     c = _col(c)
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))

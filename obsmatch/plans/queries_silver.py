@@ -172,7 +172,7 @@ FROM W""",
 def fn_minutes_between(spark: SparkSession, sf: str) -> DataFrame:
     """Whole minutes, truncated toward zero, in both directions (seconds are present)."""
     (w,) = sub(spark, sf, "W")
-    noon = F.lit(NOON).cast("timestamp_ntz")
+    noon = X.ntz_literal(NOON)
     return w.select(
         "station_id", "observation_timestamp",
         X.minutes_between(noon, "observation_timestamp").alias("minutes_from_noon"),

@@ -51,3 +51,10 @@ def test_hour_index_negative(spark):
 def test_url_filename(spark):
     assert one(spark, X.url_filename("v"), "https://x.org/a/b/file.csv.gz?x=1") == "file.csv.gz"
     assert one(spark, X.url_filename("v"), "https://x.org/") is None
+
+
+def test_ntz_literal_is_zone_free(spark):
+    v = dt.datetime(2024, 3, 31, 2, 30, 15)
+    r = spark.range(1).select(X.ntz_literal(v).alias("t")).first()["t"]
+    assert r == v
+    assert dict(spark.range(1).select(X.ntz_literal(v).alias("t")).dtypes)["t"] == "timestamp_ntz"
