@@ -44,11 +44,16 @@ def pad_zero(c: Column | str, width: int) -> Column:
 
 
 def parse_compact_ts(c: Column | str) -> Column:
-    """Lenient ``yyyyMMddHHmm`` parse to a zone-less timestamp; anything else is null."""
+    """Lenient ``yyyyMMddHHmm`` parse to a zone-less timestamp built from its fields (no time
+    zone involved); a wrong length, a non-digit, hour 24 or 30 February give null."""
     c = _col(c)
+
+    def field(start: int, length: int) -> Column:
+        return F.substring(c, start, length).cast("int")
+
     return F.when(
         c.rlike(COMPACT_TS_PATTERN),
-        F.try_to_timestamp(c, F.lit("yyyyMMddHHmm")).cast("timestamp_ntz"),
+        F.try_make_timestamp_ntz(field(1, 4), field(5, 2), field(7, 2), field(9, 2), field(11, 2), F.lit(0)),
     )
 
 
