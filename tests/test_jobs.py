@@ -35,3 +35,15 @@ def test_raw_to_gold_and_replay(spark, tmp_root):
     assert summary["missing_timestamps"] == 1 and summary["duplicate_accidents"] == 0
     replay = jobs.load_and_build_gold(spark, sa, sw, f"{tmp_root}/t/acc", f"{tmp_root}/t/wea", f"{tmp_root}/gold")
     assert replay["accidents"]["affected"] == 0 and replay["weather"]["affected"] == 0
+    assert replay["gold"] == "unchanged" and replay["gold_version"] == out["gold_version"]
+    # A second batch: a new observation near accident 2's hour makes the refresh recompute it.
+    extra = spark.createDataFrame([("00000001", "S1", "01", dt.datetime(2024, 1, 5, 1, 0), 45.01, 1.01, 7.0, None, None, None)],
+                                  "station_id string, station_name string, department string, observation_timestamp timestamp_ntz, "
+                                  "latitude double, longitude double, temperature double, rainfall_1h double, wind_speed double, wind_direction double")
+    inc = jobs.load_and_build_gold(spark, sa, extra, f"{tmp_root}/t/acc", f"{tmp_root}/t/wea", f"{tmp_root}/gold")
+    assert inc["gold"] == "refreshed" and inc["weather"]["inserted"] == 1
+    from obsmatch.plans import gold as G
+    from obsmatch.sources.sinks import VersionedTable
+    g_inc = VersionedTable(spark, f"{tmp_root}/gold").read()
+    g_full = G.accident_weather(VersionedTable(spark, f"{tmp_root}/t/acc").read(), VersionedTable(spark, f"{tmp_root}/t/wea").read())
+    assert sorted(tuple(r) for r in g_inc.collect()) == sorted(tuple(r) for r in g_full.collect())
