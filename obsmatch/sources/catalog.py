@@ -98,15 +98,19 @@ def _types_of(title: Column) -> Column:
 def pick_accident_resources(catalog: DataFrame, requests: DataFrame) -> DataFrame:
     """FIL-8 for many requests ``(year int, resource_type)``: candidate count and, when there is
     exactly one, its id. A year matches as a substring of the title (SURVEY Q18), found through
-    every 4-digit window of the title so the match is an equi-join, not a cross join."""
-    years = F.array_distinct(F.regexp_extract_all(F.col("title"), F.lit("(?=([0-9]{4}))"), 1))
+    the title's digit windows so the match is an equi-join, not a cross join."""
+    # Every run of 1 to 9 consecutive digits in the title (overlapping), as text: the year
+    # request matches when its decimal form is one of them.
+    windows = [F.regexp_extract_all(F.col("title"), F.lit(f"(?=([0-9]{{{n}}}))"), 1) for n in range(1, 10)]
+    years = F.array_distinct(F.flatten(F.array(*windows)))
     cand = catalog.select(
         "id", "title", F.explode(years).alias("y"), _types_of(F.col("title")).alias("types")
-    ).select("id", "title", F.col("y").cast("int").alias("year"), F.explode("types").alias("resource_type"))
-    per = cand.groupBy("year", "resource_type").agg(
+    ).select("id", "title", F.col("y").alias("year_text"), F.explode("types").alias("resource_type"))
+    requests = requests.withColumn("year_text", F.col("year").cast("string"))
+    per = cand.groupBy("year_text", "resource_type").agg(
         F.count(F.lit(1)).alias("candidates"), F.min("id").alias("_id")
     )
-    return requests.join(per, ["year", "resource_type"], "left").select(
+    return requests.join(per, ["year_text", "resource_type"], "left").select(
         "year",
         "resource_type",
         F.coalesce("candidates", F.lit(0)).alias("candidates"),

@@ -52,3 +52,9 @@ def test_silver_weather_department_from_partition(spark):
                                 "T string, RR1 string, FF string, DD string, department string")
     r = silver.weather(raw, [2024]).first()
     assert (r["department"], r["temperature"], r["rainfall_1h"]) == ("07", 1.5, None)
+
+
+def test_accident_pick_years_of_any_width(spark):
+    cat = spark.createDataFrame([(1, "usagers-999", "csv", "u"), (2, "usagers-12020", "csv", "v")], "id long, title string, format string, url string")
+    got = {r["year"]: r["candidates"] for r in C.pick_accident_resources(cat, C.accident_requests(spark, [999, 2020, 12020], ["usagers"])).collect()}
+    assert got == {999: 1, 2020: 1, 12020: 1}
