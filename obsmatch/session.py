@@ -8,6 +8,7 @@ shared folder named by ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -92,15 +93,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_SCOPE: list[str] = []
+# Open scratch scopes, per thread (streaming ``foreachBatch`` callbacks run on their own thread).
+_LOCAL = threading.local()
+
+
+def _scopes() -> list[str]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder (inside the current
     ``scratch_scope`` when there is one)."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/obsmatch-scratch"
-    if _SCOPE:
-        base = f"{base}/{_SCOPE[-1]}"
+    scopes = _scopes()
+    if scopes:
+        base = f"{base}/{scopes[-1]}"
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
@@ -109,11 +118,11 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
     """Intermediate tables written inside the block are deleted when it ends. For jobs whose
     results are written before the block closes; lazy results must not escape it."""
     scope = f"scope-{uuid.uuid4().hex}"
-    _SCOPE.append(scope)
+    _scopes().append(scope)
     try:
         yield scope
     finally:
-        _SCOPE.pop()
+        _scopes().pop()
         root = f"{checkpoint_dir(spark).rstrip('/')}/obsmatch-scratch/{scope}"
         jvm = spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(root)
