@@ -83,9 +83,15 @@ def accident_weather(
     """The Gold table: 18 columns in the reference's order, one row per accident id."""
     accidents = accidents.select(*ACCIDENT_COLUMNS)
     prepared = prepare_stations(stations(weather), edge)
+    year_filter = None
+    if "year" in weather.columns:
+        # Silver weather laid out by year= folders: skip the years outside the accidents' range.
+        def year_filter(lo, hi):  # noqa: E306
+            return F.col("year").cast("int").between(lo.year, hi.year)
+
     matched = nearest_in_time(
         nearest_station(accidents, prepared),
-        weather.select("station_id", "observation_timestamp", *WEATHER_VALUES),
+        weather.select("station_id", "observation_timestamp", *WEATHER_VALUES, *(["year"] if year_filter else [])),
         left_id="accident_id",
         by="station_id",
         left_ts="accident_timestamp",
@@ -96,6 +102,7 @@ def accident_weather(
         diff_col="weather_time_difference_minutes",
         ts_out="weather_timestamp",
         broadcast_max_rows=broadcast_max_rows,
+        right_partition_filter=year_filter,
     )
     return matched.select(*GOLD_COLUMNS)
 

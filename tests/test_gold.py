@@ -63,3 +63,29 @@ def test_duplicate_ids_collapse(spark):
     weather = wea(spark, [w("s", T(2024, 1, 1, 10, 0), 1.0)])
     rows = accident_weather(accidents, weather).collect()
     assert len(rows) == 1 and rows[0]["longitude"] == 1.0
+
+
+def test_year_partitions_of_weather_are_pruned(spark, tmp_root):
+    from obsmatch.operators import asof
+
+    weather = wea(spark, [w("s", T(2023, 6, 1, 10, 0), 5.0), w("s", T(2024, 1, 1, 10, 0), 1.0)])
+    from pyspark.sql import functions as F
+
+    weather.withColumn("year", F.year("observation_timestamp").cast("string")).write.partitionBy("year").parquet(tmp_root)
+    stored = spark.read.parquet(tmp_root)
+    seen = []
+    real = asof.time_range_pairs
+
+    def spy(left, right, **kw):
+        seen.append(right._jdf.queryExecution().executedPlan().toString())
+        return real(left, right, **kw)
+
+    asof.time_range_pairs = spy
+    try:
+        g = accident_weather(acc(spark, [a("x", T(2024, 1, 1, 10, 30))]), stored)
+        r = g.first()
+    finally:
+        asof.time_range_pairs = real
+    assert (r["weather_timestamp"], r["temperature"]) == (T(2024, 1, 1, 10, 0), 1.0)
+    scans = [line for line in seen[0].split("\n") if "FileScan" in line and "PartitionFilters" in line]
+    assert any("year" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
