@@ -26,9 +26,20 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def file_counts(files: DataFrame, partition_cols: Sequence[str], *, strict: bool = False) -> DataFrame:
-    """SRC-5: distinct files per partition; ``strict`` raises unless exactly one (Q17)."""
+def file_counts(
+    files: DataFrame,
+    partition_cols: Sequence[str],
+    *,
+    strict: bool = False,
+    expected: DataFrame | None = None,
+) -> DataFrame:
+    """SRC-5: distinct files per partition. ``expected`` lists the requested partitions, so that
+    a request with no object reports 0; ``strict`` raises unless every count is exactly one (Q17)."""
     out = files.groupBy(*partition_cols).agg(F.countDistinct("path").alias("files"))
+    if expected is not None:
+        out = expected.select(*partition_cols).join(out, list(partition_cols), "left").select(
+            *partition_cols, F.coalesce("files", F.lit(0)).alias("files")
+        )
     if strict:
         out = out.withColumn(
             "files",

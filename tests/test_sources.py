@@ -58,3 +58,20 @@ def test_accident_pick_years_of_any_width(spark):
     cat = spark.createDataFrame([(1, "usagers-999", "csv", "u"), (2, "usagers-12020", "csv", "v")], "id long, title string, format string, url string")
     got = {r["year"]: r["candidates"] for r in C.pick_accident_resources(cat, C.accident_requests(spark, [999, 2020, 12020], ["usagers"])).collect()}
     assert got == {999: 1, 2020: 1, 12020: 1}
+
+
+def test_one_object_guard_and_namespaces(spark, tmp_root):
+    from obsmatch.sources import layout
+    from obsmatch.sources.sinks import ensure_namespaces
+
+    df = spark.createDataFrame([("01", "a"), ("02", "b")], "department string, v string")
+    write_delimited(df, tmp_root, partition_cols=["department"])
+    files = layout.landed_files(spark, tmp_root)
+    expected = spark.createDataFrame([("01",), ("03",)], "department string")
+    counts = {r["department"]: r["files"] for r in layout.file_counts(files, ["department"], expected=expected).collect()}
+    assert counts == {"01": 1, "03": 0}
+    with pytest.raises(Exception, match="exactly one object"):
+        layout.file_counts(files, ["department"], strict=True, expected=expected).collect()
+    assert layout.file_counts(files, ["department"], strict=True).count() == 2
+    ensure_namespaces(spark, ["obsmatch_silver", "obsmatch_gold"])
+    assert spark.catalog.databaseExists("obsmatch_silver") and spark.catalog.databaseExists("obsmatch_gold")
