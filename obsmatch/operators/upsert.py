@@ -79,19 +79,24 @@ def next_state(planned: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def counts(planned: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: rows per action, ``affected`` (= inserted + updated, the DML count) and the
-    inserted rows with a null key, which a replay inserts again."""
+def count_columns(keys: Sequence[str]) -> list[Column]:
+    """Aggregates over a plan: rows per action, ``affected`` (= inserted + updated, the DML
+    count) and the inserted rows with a null key, which a replay inserts again."""
     a = F.col("_action")
     null_key = _any([F.col(f"s_{k}").isNull() for k in keys])
-    return planned.agg(
+    return [
         F.count_if(a == "insert").alias("inserted"),
         F.count_if(a == "update").alias("updated"),
         F.count_if(a == "unchanged").alias("unchanged"),
         F.count_if(a == "untouched").alias("untouched"),
         F.count_if(a.isin("insert", "update")).alias("affected"),
         F.count_if((a == "insert") & null_key).alias("null_key_rows"),
-    )
+    ]
+
+
+def counts(planned: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of :func:`count_columns`."""
+    return planned.agg(*count_columns(keys))
 
 
 def upsert(

@@ -10,9 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from obsmatch.plans import oracle as O
 from obsmatch.plans.fixtures import duckdb_with, substrate
 
 Query = Callable[[SparkSession, str], DataFrame]

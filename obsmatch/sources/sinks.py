@@ -134,9 +134,8 @@ def merge_into(
     the table as it was. Returns the counts.
     """
     from pyspark.sql import Observation
-    from pyspark.sql import functions as F
 
-    from obsmatch.operators.upsert import next_state, plan, upsert
+    from obsmatch.operators.upsert import count_columns, next_state, plan, upsert
 
     if not table.exists():
         state, counts = upsert(None, staging, keys, attrs)
@@ -145,20 +144,8 @@ def merge_into(
 
     target = table.read()
     planned = plan(target, staging, keys, attrs)
-    a = F.col("_action")
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(f"s_{k}").isNull()
     obs = Observation("merge")
-    observed = planned.observe(
-        obs,
-        F.count_if(a == "insert").alias("inserted"),
-        F.count_if(a == "update").alias("updated"),
-        F.count_if(a == "unchanged").alias("unchanged"),
-        F.count_if(a == "untouched").alias("untouched"),
-        F.count_if(a.isin("insert", "update")).alias("affected"),
-        F.count_if((a == "insert") & null_key).alias("null_key_rows"),
-    )
+    observed = planned.observe(obs, *count_columns(keys))
     current = table.version()
     nxt = current + 1
     write_partitioned(next_state(observed, target.columns), f"{table.root}/_v={nxt}", table.partition_cols)
@@ -193,7 +180,7 @@ def merge_partitions(
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
-    from obsmatch.operators.upsert import next_state, plan
+    from obsmatch.operators.upsert import count_columns, next_state, plan
     from obsmatch.session import scratch_path, scratch_scope
 
     parts = list(partition_cols)
@@ -220,23 +207,8 @@ def merge_partitions(
         target = target.join(F.broadcast(staging.select(*parts).distinct()), parts, "left_semi")
     target = target.select(*staging.columns)
     planned = plan(target, staging, keys, attrs)
-    a = F.col("_action")
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(f"s_{k}").isNull()
     obs = Observation("merge_partitions")
-    state = next_state(
-        planned.observe(
-            obs,
-            F.count_if(a == "insert").alias("inserted"),
-            F.count_if(a == "update").alias("updated"),
-            F.count_if(a == "unchanged").alias("unchanged"),
-            F.count_if(a == "untouched").alias("untouched"),
-            F.count_if(a.isin("insert", "update")).alias("affected"),
-            F.count_if((a == "insert") & null_key).alias("null_key_rows"),
-        ),
-        staging.columns,
-    )
+    state = next_state(planned.observe(obs, *count_columns(keys)), staging.columns)
     with scratch_scope(spark):
         merged_path = scratch_path(spark, "merged_partitions")
         state.write.mode("overwrite").parquet(merged_path)

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from obsmatch.operators.upsert import counts, next_state, plan, upsert
 from obsmatch.sources.sinks import VersionedTable, merge_into
