@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from obsmatch.session import materialize
 from obsmatch.session import configure as configure_library
@@ -22,6 +23,11 @@ SLICE_BYTES = 2 << 20
 def configure(spark: SparkSession) -> SparkSession:
     """The library's settings, and small Arrow batches: a batch of whole texts must fit beside its arrays."""
     configure_library(spark)
+    # Python workers import this package from where the driver has it, whatever folder they start in.
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
 
@@ -66,7 +72,6 @@ def with_arrow_columns(df: DataFrame, added: str, fn: Callable[[pa.RecordBatch],
     """
     from pyspark.sql.types import StructType
 
-    spark = df.sparkSession
     new = StructType.fromDDL(added)
     names = {f.name.lower() for f in new.fields}
     # ``batch`` columns are taken by position, so names that differ only by case stay apart.
@@ -79,9 +84,4 @@ def with_arrow_columns(df: DataFrame, added: str, fn: Callable[[pa.RecordBatch],
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep_at] + fn(batch), names=arrow_names)
 
-    del spark
     return df.mapInArrow(run, schema)
-
-
-def rows_hash(*columns: Column) -> Column:
-    return F.xxhash64(*columns)

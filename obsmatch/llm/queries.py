@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from obsmatch.llm import op02_mixing, op10_sharding
+from obsmatch.llm import op02_mixing, op03_decontamination, op10_sharding
 from obsmatch.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +35,14 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_mixing.mix(docs)
 
 
+@query("op3_benchmark_decontamination", op03_decontamination.oracle("documents", "benchmark"))
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that lie in occurrences of benchmark windows."""
+    blocks = op03_decontamination.phrase_blocks(table(spark, sf_dir, "benchmark"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op03_decontamination.digest(op03_decontamination.decontaminate(docs, blocks))
+
+
 @query("op10_extendible_sharding", op10_sharding.oracle("documents", op10_sharding.SHARD_BYTES))
 def extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document."""
