@@ -65,15 +65,15 @@ def string_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-def with_arrow_columns(df: DataFrame, added: str, fn: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
-    """``df`` with the columns of the DDL string ``added``, made from each Arrow batch by ``fn``.
+def with_arrow_columns(df: DataFrame, added: str, fn: Callable[[pa.RecordBatch], list[pa.Array]], drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the columns of the DDL string ``added``, made from each Arrow batch by ``fn``, without ``drop``.
 
     A column of ``df`` that has the name of an added one (in any case) is replaced by it.
     """
     from pyspark.sql.types import StructType
 
     new = StructType.fromDDL(added)
-    names = {f.name.lower() for f in new.fields}
+    names = {f.name.lower() for f in new.fields} | {c.lower() for c in drop}
     # ``batch`` columns are taken by position, so names that differ only by case stay apart.
     kept = [f for f in df.schema.fields if f.name.lower() not in names]
     keep_at = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in names]
@@ -85,3 +85,39 @@ def with_arrow_columns(df: DataFrame, added: str, fn: Callable[[pa.RecordBatch],
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep_at] + fn(batch), names=arrow_names)
 
     return df.mapInArrow(run, schema)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str], limit: int = 4 << 20) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of a partition sorted by the integer columns ``keys``, several at a time, with the row offset
+    of each group. About ``limit`` bytes are taken at once, or a single larger group."""
+
+    def starts(t: pa.Table) -> np.ndarray:
+        new = np.zeros(t.num_rows, bool)
+        new[0] = True
+        for k in keys:
+            v = t.column(k).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.flatnonzero(new)
+
+    held: list[pa.RecordBatch] = []
+    size, next_try = 0, limit
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.nbytes
+        if size < next_try:
+            continue
+        t = pa.Table.from_batches(held).combine_chunks()
+        at = starts(t)
+        last = int(at[-1])
+        if last:
+            yield t.slice(0, last).combine_chunks(), at
+            t = t.slice(last).combine_chunks()
+        held = t.to_batches()
+        size = t.nbytes
+        next_try = max(limit, 2 * size)
+    if held:
+        t = pa.Table.from_batches(held).combine_chunks()
+        if t.num_rows:
+            yield t, np.append(starts(t), t.num_rows)

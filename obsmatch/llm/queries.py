@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmatch.llm import op02_mixing, op03_decontamination, op10_sharding
+from obsmatch.llm import op02_mixing, op03_decontamination, op08_minhash, op10_sharding
 from obsmatch.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,12 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_decontamination.digest(op03_decontamination.decontaminate(docs, blocks))
 
 
+@query("op8_minhash_near_duplicates")
+def minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return op08_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op10_extendible_sharding", op10_sharding.oracle("documents", op10_sharding.SHARD_BYTES))
 def extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document."""
