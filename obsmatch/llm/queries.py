@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmatch.llm import op02_mixing, op03_decontamination, op08_minhash, op10_sharding
+from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op08_minhash, op10_sharding
 from obsmatch.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_embedding_near_duplicates", op01_embeddings.oracle("embeddings"))
+def embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and class of every vector."""
+    return op01_embeddings.near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_source_mixing", op02_mixing.oracle("documents"))
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to take, and how often, for three fifths of all tokens at the target weights."""
