@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op08_minhash, op10_sharding
+from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op07_token_files, op08_minhash, op10_sharding
 from obsmatch.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +50,12 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_decontamination.digest(op03_decontamination.decontaminate(docs, blocks))
 
 
+@query("op7_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and checksums of every document's token ids, read back from the token files."""
+    return op07_token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op8_minhash_near_duplicates")
 def minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
