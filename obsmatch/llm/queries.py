@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op07_token_files, op08_minhash, op10_sharding
+from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op07_token_files, op08_minhash, op09_chat, op10_sharding
 from obsmatch.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,13 @@ def minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op9_chat_formatting", op09_chat.oracle("conversations"))
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's turns and learned texts, read back from its token ids."""
+    rows = table(spark, sf_dir, "conversations")
+    return op09_chat.conversations_query(spark, rows, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op10_extendible_sharding", op10_sharding.oracle("documents", op10_sharding.SHARD_BYTES))
 def extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document."""
