@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op07_token_files, op08_minhash, op09_chat, op10_sharding
+from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op04_language, op07_token_files, op08_minhash, op09_chat, op10_sharding
 from obsmatch.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,12 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_decontamination.digest(op03_decontamination.decontaminate(docs, blocks))
 
 
+@query("op4_language_identification")
+def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the labelled ones that are not held out."""
+    return op04_language.language_query(table(spark, sf_dir, "documents"))
+
+
 @query("op7_token_files")
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places and checksums of every document's token ids, read back from the token files."""
