@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op04_language, op07_token_files, op08_minhash, op09_chat, op10_sharding
+from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op04_language, op05_urls, op07_token_files, op08_minhash, op09_chat, op10_sharding
 from obsmatch.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,12 @@ def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op04_language.language_query(table(spark, sf_dir, "documents"))
 
 
+@query("op5_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    return op05_urls.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_token_files")
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places and checksums of every document's token ids, read back from the token files."""
