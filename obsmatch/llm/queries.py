@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op04_language, op05_urls, op07_token_files, op08_minhash, op09_chat, op10_sharding
+from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op04_language, op05_urls, op06_html, op07_token_files, op08_minhash, op09_chat, op10_sharding
 from obsmatch.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,12 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op05_urls.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return op06_html.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op7_token_files")
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places and checksums of every document's token ids, read back from the token files."""
