@@ -55,7 +55,7 @@ def bag_minhash(x: np.ndarray, count: np.ndarray, row: np.ndarray, rows: int, si
         if not len(more):
             break
         parts.append((x[more], count[more], row[more], level))
-    seed = np.concatenate([mix(p[0] + np.uint64(p[3] + 1) * _STEP) for p in parts])
+    seed = np.concatenate([mix(p[0] + np.uint64((p[3] + 1) * int(_STEP) % (1 << 64))) for p in parts])
     own = np.concatenate([p[2] for p in parts]).astype(np.int64)
     width = np.concatenate([np.full(len(p[0]), 1.0 if p[3] == 0 else float(1 << (p[3] - 1))) for p in parts])
     below = np.concatenate([np.zeros(len(p[0])) if p[3] == 0 else np.full(len(p[0]), float(1 << (p[3] - 1))) for p in parts])
