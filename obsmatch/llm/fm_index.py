@@ -18,7 +18,7 @@ def suffix_order(t: np.ndarray, bits: int) -> np.ndarray:
     open_ = np.ones(n, bool)  # no 0 among the symbols packed so far
     for k in range(packed):
         symbol = np.zeros(n, np.int64)
-        symbol[: n - k] = t[k:]
+        symbol[: max(n - k, 0)] = t[k:]
         symbol *= open_
         key = (key << bits) | symbol
         open_ &= symbol != 0

@@ -33,8 +33,8 @@ from obsmatch.llm.e8 import cells_within, decode
 from obsmatch.llm.words import mix
 
 COSINE = 0.98
-#: Distance in a block that is one lattice unit.
-SCALE = 0.2
+#: r / 2 in lattice units: it sets the lattice's scale. Larger cells are fewer entries and more comparisons.
+RADIUS = 0.177
 SEED = 11
 #: Entries of a cell that are compared at once.
 CHUNK = 512
@@ -73,23 +73,29 @@ def cell_key(table: np.ndarray | int, point: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
-def entries(x: np.ndarray, cosine: float, scale: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def unit_of(tables: int, cosine: float, radius: float) -> float:
+    """The distance in a block that is one lattice unit."""
+    return float(np.sqrt((2 - 2 * cosine) / tables)) / 2 / radius
+
+
+def entries(x: np.ndarray, cosine: float, radius: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, cell) of every entry of the unit vectors ``x``."""
     p = project(x, seed)
     tables = p.shape[1] // 8
-    half = np.sqrt((2 - 2 * cosine) / tables) / 2 / scale
+    scale = unit_of(tables, cosine, radius)
     rows, cells = [], []
     for t in range(tables):
-        row, point = cells_within(p[:, 8 * t : 8 * t + 8] / scale, half)
+        row, point = cells_within(p[:, 8 * t : 8 * t + 8] / scale, radius)
         rows.append(row)
         cells.append(cell_key(t, point))
     return np.concatenate(rows), np.concatenate(cells)
 
 
-def meeting_cell(pa_: np.ndarray, pb: np.ndarray, cosine: float, scale: float) -> np.ndarray:
+def meeting_cell(pa_: np.ndarray, pb: np.ndarray, cosine: float, radius: float) -> np.ndarray:
     """The one cell in which a pair of projected vectors counts."""
     tables = pa_.shape[1] // 8
     limit = (2 - 2 * cosine) / tables * (1 + 1e-9)
+    scale = unit_of(tables, cosine, radius)
     first = np.full(len(pa_), -1)
     for t in range(tables - 1, -1, -1):
         d = np.zeros(len(pa_))
@@ -113,7 +119,7 @@ def _vectors(column: pa.ChunkedArray | pa.Array, dtype: type) -> np.ndarray:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(dtype).reshape(len(column), -1)
 
 
-def near_embeddings(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", embedding: str = "embedding", label: str = "label", scale: float = SCALE, seed: int = SEED, chunk: int = CHUNK) -> DataFrame:
+def near_embeddings(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", embedding: str = "embedding", label: str = "label", radius: float = RADIUS, seed: int = SEED, chunk: int = CHUNK) -> DataFrame:
     """(key, n_links, component_id, kept) of every row."""
     wide = "double" in dict(vectors.select(F.col(embedding).alias("e")).dtypes)["e"]
     dtype = np.float64 if wide else np.float32
@@ -133,7 +139,7 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_
             for size in np.unique(sizes):
                 for at in np.array_split(np.flatnonzero(sizes == size), max(1, int((sizes == size).sum()) // 500)):
                     x = flat[(begin[at][:, None] + np.arange(size)).ravel()].reshape(len(at), size)
-                    row, cell = entries(unit(x), cosine, scale, seed)
+                    row, cell = entries(unit(x), cosine, radius, seed)
                     body = np.ascontiguousarray(x[row]).view(np.uint8).ravel()
                     offsets = np.arange(len(row) + 1, dtype=np.int32) * np.int32(size * x.itemsize)
                     raw = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
@@ -160,7 +166,7 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_
             rid, mult, own, cell, lab, size = (t.column(c).to_numpy() for c in ("rid", "mult", "own", "cell", "label", "size"))
             first, last = t.column("i").to_numpy(), t.column("j").to_numpy()
             for width in np.unique(size):
-                yield from _compare(np.flatnonzero(size == width), at, t.column("v"), rid, mult, own, cell, lab, first, last, dtype, cosine, scale, seed)
+                yield from _compare(np.flatnonzero(size == width), at, t.column("v"), rid, mult, own, cell, lab, first, last, dtype, cosine, radius, seed)
 
     keys = ["g", "i", "j"]
     linked = found.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a bigint, b bigint, n bigint")
@@ -179,7 +185,7 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_
     )
 
 
-def _compare(use, at, column, rid, mult, own, cell, lab, first, last, dtype, cosine, scale, seed) -> Iterator[pa.RecordBatch]:
+def _compare(use, at, column, rid, mult, own, cell, lab, first, last, dtype, cosine, radius, seed) -> Iterator[pa.RecordBatch]:
     """Sums of links and spanning trees of the pairs that count in the groups of one vector length."""
     raw = _vectors(column.combine_chunks().take(pa.array(use)), dtype)
     x = unit(raw)
@@ -211,7 +217,7 @@ def _compare(use, at, column, rid, mult, own, cell, lab, first, last, dtype, cos
         if len(i):
             some, back = np.unique(np.concatenate([i, j]), return_inverse=True)
             p = project(x[some], seed)
-            ok = meeting_cell(p[back[: len(i)]], p[back[len(i) :]], cosine, scale) == cell[use[i]]
+            ok = meeting_cell(p[back[: len(i)]], p[back[len(i) :]], cosine, radius) == cell[use[i]]
             keep.append((i[ok], j[ok]))
     if not keep:
         return
@@ -239,15 +245,15 @@ def _compare(use, at, column, rid, mult, own, cell, lab, first, last, dtype, cos
 def oracle(relation: str, cosine: float = COSINE) -> str:
     """DuckDB SQL: every pair of a label, and reachability step by step."""
     return f"""
-WITH RECURSIVE v AS (
-  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e,
+WITH RECURSIVE checked AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding,
     label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
       AND len([x for x in embedding if x <> 0]) > 0 AS ok
   FROM {relation}
-), good AS (SELECT * FROM v WHERE ok),
+), v AS (SELECT r, vec_id, CASE WHEN ok THEN label END AS label, [coalesce(x, 0)::DOUBLE for x in embedding] AS e FROM checked),
 links AS (
-  SELECT a.r, a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
-  WHERE list_cosine_similarity(a.e, b.e) >= {cosine}
+  SELECT a.r, a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= {cosine}
 ), pairs AS (SELECT DISTINCT a, b FROM links),
 reach AS (SELECT a AS x, a AS y FROM pairs UNION SELECT x, b FROM reach JOIN pairs ON a = y),
 low AS (SELECT x, min(y) AS c FROM reach GROUP BY 1),
