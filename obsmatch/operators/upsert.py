@@ -9,10 +9,11 @@ on the keys once; the staging window below reuses that partitioning) with an act
 * ``untouched`` -- target row no staging row matches. Nothing is ever deleted.
 
 A target row that more than one staging row would update is an error, as in the reference's
-warehouse; several equal staging rows for one target row keep it once. ``counts`` gives the
-affected rows (insert + update) from the same plan, so a replay reports 0 and
-``sinks.merge_into`` then publishes no new version. Rows with a null key are salted so that they
-cannot gather in one task.
+warehouse; staging rows equal to the target row are no updates, and keep it once. ``counts`` gives
+the affected rows (insert + update) from the same plan, so a replay reports 0 and
+``sinks.merge_into`` then publishes no new version. Equal staging rows meet as one row and a count
+before the window over the key, so a key repeated many times is no hot key; rows with a null key
+are salted by a hash of the row (the same on every retry) so that they cannot gather in one task.
 """
 
 from __future__ import annotations
@@ -43,32 +44,53 @@ def plan(target: DataFrame, staging: DataFrame, keys: Sequence[str], attrs: Sequ
     # spread for null keys keeps matching unchanged and scatters those rows.
     def salt() -> Column:
         any_null = _any([F.col(k).isNull() for k in keys])
-        spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(NULL_KEY_SPREAD))
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(NULL_KEY_SPREAD))
         return F.when(any_null, spread).otherwise(F.lit(0)).cast("int")
 
-    s = staging.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_s"), salt().alias("_ss"))
-    # The window is keyed like the join (renamed keys and salt), so one exchange serves both.
-    by_key = Window.partitionBy(*[f"s_{k}" for k in keys], "_ss")
+    def values(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}_{a}") for a in attrs])
+
+    s = staging.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    s = s.select(*[F.col(c).alias(f"s_{c}") for c in cols], "_copies", F.lit(True).alias("_s"), salt().alias("_ss"))
+    # The windows are keyed like the join (renamed keys and salt), so one exchange serves all.
+    key_cols = [*[f"s_{k}" for k in keys], "_ss"]
+    by_key = Window.partitionBy(*key_cols)
+    by_value = Window.partitionBy(*key_cols, *[f"s_{a}" for a in attrs])
+    order = [F.col(f"s_{c}").asc_nulls_first() for c in cols]
     s = s.select(
         "*",
-        F.count(F.lit(1)).over(by_key).alias("_n"),
-        F.row_number().over(by_key.orderBy(*[F.col(f"s_{a}").asc_nulls_first() for a in attrs])).alias("_rn"),
+        F.sum("_copies").over(by_key).alias("_n"),  # staging rows of the key
+        F.sum("_copies").over(by_value).alias("_same"),  # those with this row's attributes
+        F.row_number().over(by_value.orderBy(*order)).alias("_rn"),
+        F.min(values("s")).over(by_key).alias("_lo"),
+        F.max(values("s")).over(by_key).alias("_hi"),
+        F.dense_rank().over(by_key.orderBy(*[F.col(f"s_{a}").asc_nulls_first() for a in attrs])).alias("_rank"),
     )
+    s = s.withColumn("_values", F.max("_rank").over(by_key)).drop("_rank")
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"), salt().alias("_ts"))
     on = reduce(lambda a, b: a & b, [t[f"t_{k}"] == s[f"s_{k}"] for k in keys], t["_ts"] == s["_ss"])
     j = t.join(s, on, "full_outer")
 
     matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
     changed = _any([null_safe_diff(f"t_{a}", f"s_{a}") for a in attrs])
+    # A changed row is the only update of its target row if it stands alone or all other staging
+    # rows of the key equal the target: then there are two values, this one once.
+    other = F.when(values("s").eqNullSafe(F.col("_lo")), F.col("_hi")).otherwise(F.col("_lo"))
+    alone = (F.col("_n") == 1) | ((F.col("_same") == 1) & (F.col("_values") == 2) & values("t").eqNullSafe(other))
     action = (
-        F.when(matched & changed & (F.col("_n") > 1), F.raise_error(F.lit("MERGE: a target row matches several updating staging rows")))
+        F.when(matched & changed & ~alone, F.raise_error(F.lit("MERGE: a target row matches several updating staging rows")))
         .when(matched & changed, F.lit("update"))
         .when(matched, F.lit("unchanged"))
         .when(F.col("_s").isNotNull(), F.lit("insert"))
         .otherwise(F.lit("untouched"))
     )
-    # Several equal staging rows for one target row: the target row is kept once.
-    return j.where(~matched | changed | (F.col("_rn") == 1)).withColumn("_action", action).drop("_ss", "_ts")
+    # A target row equal to some staging rows is kept once, unless another one updates it.
+    keep = ~matched | changed | ((F.col("_rn") == 1) & (F.col("_same") == F.col("_n")))
+    out = j.where(keep).withColumn("_action", action)
+    # Staging rows without a target are inserted as often as they come.
+    copies = F.when(F.col("_action") == "insert", F.col("_copies")).otherwise(F.lit(1)).cast("int")
+    helpers = ["_ss", "_ts", "_copies", "_n", "_same", "_rn", "_lo", "_hi", "_values", "_copy"]
+    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).drop(*helpers)
 
 
 def next_state(planned: DataFrame, columns: Sequence[str]) -> DataFrame:

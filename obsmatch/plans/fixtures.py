@@ -29,6 +29,29 @@ from {orders}
 """,
         ("orders",),
     ),
+    # Repeated ids (several orders of a customer) and null ids.
+    "A_DUP": (
+        """
+select case when cast(accident_id as bigint) % 41 = 0 then null
+            when cast(accident_id as bigint) % 6 = 0 then city else accident_id end as accident_id,
+       accident_timestamp, department, city, latitude, longitude, atmospheric_condition, luminosity, collision_type
+from {A}
+""",
+        ("A",),
+    ),
+    # Staging rows equal to their target and one that differs, repeated rows, null keys.
+    "STG_DUP": (
+        """
+select case when cast(accident_id as bigint) % 17 = 0 then null else accident_id end as accident_id,
+       accident_timestamp, department, city, latitude, longitude, atmospheric_condition, luminosity, collision_type
+from {A} where cast(accident_id as bigint) % 5 <> 0
+union all
+select accident_id, accident_timestamp, department, city, latitude, longitude, atmospheric_condition,
+       case when cast(accident_id as bigint) % 4 = 0 then luminosity + 1 else luminosity end as luminosity, collision_type
+from {A} where cast(accident_id as bigint) % 2 = 0
+""",
+        ("A",),
+    ),
     "W": (
         """
 select cast(user_id % 50 as string) as station_id,

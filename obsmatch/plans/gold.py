@@ -45,10 +45,10 @@ def prepare_stations(station_rows: DataFrame, edge: float | None = None) -> Prep
 def nearest_station(
     accidents: DataFrame, station_rows: DataFrame | PreparedSites, *, edge: float | None = None
 ) -> DataFrame:
-    """Accidents with a position, each with its nearest station (ties: station_id, name, position).
+    """WIN-1: one row per accident id (null is an id), of the accident's rows with a position the one
+    nearest to a station, with that station (ties: station_id, name, position, accident columns).
 
     Output: accident columns, ``station_id, station_name, distance_to_station_m, _s_lat, _s_lon``.
-    Accidents are not deduplicated here; ``accident_weather`` picks one row per id.
     """
     acc = accidents.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     with_n = nearest(
@@ -62,14 +62,17 @@ def nearest_station(
         out="_n",
         edge=edge,
     )
-    return with_n.where(F.col("_n").isNotNull()).select(
-        *accidents.columns,
+    ranked = F.struct(
+        F.col("_n.distance_m").alias("distance_to_station_m"),
         F.col("_n.station_id").alias("station_id"),
         F.col("_n.station_name").alias("station_name"),
-        F.col("_n.distance_m").alias("distance_to_station_m"),
         F.col("_n.lat").alias("_s_lat"),
         F.col("_n.lon").alias("_s_lon"),
+        *[F.col(c) for c in accidents.columns if c != "accident_id"],
     )
+    # A partial aggregate: repeated rows of one id meet before the shuffle.
+    one = with_n.where(F.col("_n").isNotNull()).groupBy("accident_id").agg(F.min(ranked).alias("_m")).select("accident_id", "_m.*")
+    return one.select(*accidents.columns, "station_id", "station_name", "distance_to_station_m", "_s_lat", "_s_lon")
 
 
 def accident_weather(

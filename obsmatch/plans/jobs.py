@@ -3,43 +3,69 @@ both in one run.
 
 * ``build_silver_accidents`` / ``build_silver_weather``: raw delimited files -> contract check ->
   cleaning -> zstd Parquet partitioned by (year, department), rows clustered within files, with
-  the raw and kept row counts observed during the write (no second pass).
+  the raw and kept row counts observed during the write (no second pass). Partitions that the run asked
+  for and that came out empty are emptied.
 * ``load_and_build_gold``: merge Silver into the versioned accident and weather tables (first
-  load copies), then replace the Gold table.
+  load copies), then bring the Gold table to those versions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obsmatch.plans import gold, silver
 from obsmatch.schemas import ACCIDENT_ATTRS, ACCIDENT_KEYS, WEATHER_ATTRS, WEATHER_KEYS
-from obsmatch.session import materialize_observed, scratch_scope
+from obsmatch.session import materialize, scratch_scope
 from obsmatch.sources.delimited import read_delimited
-from obsmatch.sources.sinks import VersionedTable, merge_into, write_partitioned
+from obsmatch.sources.sinks import _FS, VersionedTable, merge_into, write_partitioned
 
 
-def _write_observed(df: DataFrame, path: str, partition_cols: list[str], sort_within: list[str]) -> int:
-    obs = Observation("silver")
-    write_partitioned(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_cols, sort_within=sort_within)
-    return int(obs.get["rows"])
+def _write_silver(
+    raw: DataFrame, clean: Callable[[DataFrame], DataFrame], out: str, years: Sequence[int], departments: Sequence[str] | None, sort_within: list[str]
+) -> dict[str, int]:
+    """Replaces the (year, department) partitions of ``years`` (and ``departments``, or all) under ``out``."""
+    read, kept = Observation("raw"), Observation("silver")
+    parts = ["year", "department"]
+    metrics = [F.count(F.lit(1)).alias("rows"), F.collect_set(F.concat_ws("/", *[F.col(c).cast("string") for c in parts])).alias("parts")]
+    df = clean(raw.observe(read, F.count(F.lit(1)).alias("rows")))
+    write_partitioned(df, out, parts, sort_within=sort_within, dynamic=True, observe=(kept, metrics))
+    written = set(kept.get["parts"])  # one value a folder
+    folder = _FS(raw.sparkSession, out)
+    for year in years:
+        here = _FS(raw.sparkSession, f"{out}/year={year}")
+        for name in here.names():
+            department = name.removeprefix("department=")
+            asked = departments is None or department in departments
+            if name.startswith("department=") and asked and f"{year}/{department}" not in written:
+                folder.fs.delete(here.child(name), True)
+    return {"bronze_rows": int(read.get["rows"]), "silver_rows": int(kept.get["rows"])}
 
 
 def build_silver_accidents(
     spark: SparkSession,
-    raw_paths: str | list[str],
+    raw_paths: str | list[str] | Mapping[int, str | list[str]],
     out: str,
-    year: int,
+    year: int | None = None,
     departments: str | Iterable[str] | None = None,
 ) -> dict[str, int]:
-    """JOB-1: the accident characteristics of ``year`` for the given departments."""
-    raw = read_delimited(spark, raw_paths)
-    df = silver.accidents(raw, departments).withColumn("year", F.lit(int(year)))
-    rows = _write_observed(df, out, ["year", "department"], ["accident_timestamp"])
-    return {"silver_rows": rows}
+    """JOB-1: the accident characteristics for the given departments, of ``year``, or of every year that
+    ``raw_paths`` maps to its files."""
+    by_year = {year: raw_paths} if year is not None else dict(raw_paths)
+    wanted = None if departments is None else [departments] if isinstance(departments, str) else list(departments)
+    raw = None
+    for y, paths in by_year.items():
+        one = read_delimited(spark, paths).withColumn("_year", F.lit(int(y)))
+        raw = one if raw is None else raw.unionByName(one, allowMissingColumns=True)
+
+    def clean(df: DataFrame) -> DataFrame:
+        parts = [silver.accidents(df.where(F.col("_year") == int(y)).drop("_year"), wanted).withColumn("year", F.lit(int(y))) for y in by_year]
+        return reduce(DataFrame.unionByName, parts)
+
+    return _write_silver(raw, clean, out, list(by_year), wanted, ["accident_timestamp"])
 
 
 def build_silver_weather(
@@ -49,11 +75,13 @@ def build_silver_weather(
     years: int | Iterable[int],
 ) -> dict[str, int]:
     """JOB-2: hourly observations of ``years`` for every ``department=`` folder under ``raw_root``."""
+    wanted = [years] if isinstance(years, int) else list(years)
     raw = read_delimited(spark, raw_root, base_path=raw_root, min_partitions=spark.sparkContext.defaultParallelism)
-    df = silver.weather(raw, years)
-    df = df.withColumn("year", F.year("observation_timestamp"))
-    rows = _write_observed(df, out, ["year", "department"], ["station_id", "observation_timestamp"])
-    return {"silver_rows": rows}
+
+    def clean(df: DataFrame) -> DataFrame:
+        return silver.weather(df, wanted).withColumn("year", F.year("observation_timestamp"))
+
+    return _write_silver(raw, clean, out, wanted, None, ["station_id", "observation_timestamp"])
 
 
 def load_and_build_gold(
@@ -68,35 +96,35 @@ def load_and_build_gold(
 ) -> dict[str, dict[str, int] | int | str]:
     """JOB-3: incremental loads of both Silver tables, then the Gold table.
 
-    With ``incremental`` and an existing Gold table, the rows each load inserts or updates are
-    found against the previous versions first, and Gold is refreshed only for the accidents they
-    can affect (``gold.refresh``, equal to a full rebuild); a load that changes nothing writes no
-    Gold version. Otherwise Gold is rebuilt in full.
+    Every Gold version names the accident and weather versions it was built from. If those are the
+    current ones after the loads, Gold is left as it is. If they were the current ones before the
+    loads, the rows that the loads insert or update are known, and with ``incremental`` only the
+    accidents they can affect are computed anew (``gold.refresh``, equal to a full rebuild). In every
+    other case -- a first run, or one after a run that died between a merge and Gold -- Gold is
+    rebuilt in full, so a repeated run heals a broken one.
     """
     acc = VersionedTable(spark, accidents_table)
     wea = VersionedTable(spark, weather_table)
     g = VersionedTable(spark, gold_table)
-    stg_a = silver_accidents.select(*ACCIDENT_KEYS, *ACCIDENT_ATTRS)
-    stg_w = silver_weather.select(*WEATHER_KEYS, *WEATHER_ATTRS)
     with scratch_scope(spark):
-        use_refresh = incremental and g.exists() and acc.exists() and wea.exists()
+        stg_a = materialize(silver_accidents.select(*ACCIDENT_KEYS, *ACCIDENT_ATTRS), "staging_accidents")
+        stg_w = materialize(silver_weather.select(*WEATHER_KEYS, *WEATHER_ATTRS), "staging_weather")
+        before = {"accidents": acc.version(), "weather": wea.version()}
+        use_refresh = incremental and g.sources() == before and None not in before.values()
         if use_refresh:
-            prev_acc, prev_wea = acc.read(), wea.read()
-            ch_a, na = materialize_observed(
-                gold.changed_rows(prev_acc, stg_a, ACCIDENT_KEYS, ACCIDENT_ATTRS), F.count(F.lit(1)).alias("n")
-            )
-            ch_w, nw = materialize_observed(
-                gold.changed_rows(prev_wea, stg_w, WEATHER_KEYS, WEATHER_ATTRS), F.count(F.lit(1)).alias("n")
-            )
+            prev_wea = wea.read(before["weather"])
+            ch_a = materialize(gold.changed_rows(acc.read(before["accidents"]), stg_a, ACCIDENT_KEYS, ACCIDENT_ATTRS), "changed_accidents")
+            ch_w = materialize(gold.changed_rows(prev_wea, stg_w, WEATHER_KEYS, WEATHER_ATTRS), "changed_weather")
         acc_counts = merge_into(acc, stg_a, ACCIDENT_KEYS, ACCIDENT_ATTRS)
         wea_counts = merge_into(wea, stg_w, WEATHER_KEYS, WEATHER_ATTRS)
+        now = {"accidents": acc.version(), "weather": wea.version()}
+        if g.sources() == now:
+            return {"accidents": acc_counts, "weather": wea_counts, "gold_version": g.version(), "gold": "unchanged"}
         if use_refresh:
-            if int(na["n"]) == 0 and int(nw["n"]) == 0:
-                return {"accidents": acc_counts, "weather": wea_counts, "gold_version": g.version(), "gold": "unchanged"}
             new_gold = gold.refresh(g.read(), acc.read(), wea.read(), ch_a, ch_w, prev_wea)
             mode = "refreshed"
         else:
             new_gold = gold.accident_weather(acc.read(), wea.read())
             mode = "rebuilt"
-        version = g.replace(new_gold)
+        version = g.replace(new_gold, now)
     return {"accidents": acc_counts, "weather": wea_counts, "gold_version": version, "gold": mode}

@@ -37,23 +37,32 @@ def nearest_station(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register(
-    "weather_candidates",
-    with_sql(("A", "W"), O.STATIONS, O.NEAREST)
-    + """SELECT n.accident_id, n.station_id, w.observation_timestamp AS weather_timestamp,
+    "nearest_station_dup",
+    with_sql(("A_DUP", "W"), O.STATIONS, O.NEAREST.replace("FROM A a", "FROM A_DUP a"))
+    + f"SELECT accident_id, station_id, station_name, {_DIST} AS distance_to_station_m, luminosity FROM ns",
+)
+def nearest_station_dup(spark: SparkSession, sf: str) -> DataFrame:
+    """WIN-1: one row per accident id where ids are repeated and null."""
+    a, w = sub(spark, sf, "A_DUP", "W")
+    n = gold.nearest_station(a, gold.stations(w))
+    return n.select("accident_id", "station_id", "station_name", F.round("distance_to_station_m", 3).alias("distance_to_station_m"), "luminosity")
+
+
+def _candidates_sql(accidents: str) -> str:
+    return (
+        with_sql((accidents, "W"), O.STATIONS, O.NEAREST.replace("FROM A a", f"FROM {accidents} a"))
+        + """SELECT n.accident_id, n.station_id, w.observation_timestamp AS weather_timestamp,
        date_sub('minute', n.accident_timestamp, w.observation_timestamp) AS minutes_from_accident, w.temperature
 FROM ns n LEFT JOIN W w ON w.station_id = n.station_id
- AND w.observation_timestamp BETWEEN n.accident_timestamp - INTERVAL 2 HOUR AND n.accident_timestamp + INTERVAL 2 HOUR""",
-)
-def weather_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """JN-3: left range join of each accident's station to its observations within ±2 h."""
-    a, w = sub(spark, sf, "A", "W")
-    n = gold.nearest_station(a, gold.stations(w)).select("accident_id", "station_id", "accident_timestamp")
-    obs = w.select(
-        "station_id", F.col("observation_timestamp").alias("weather_timestamp"), "temperature"
+ AND w.observation_timestamp BETWEEN n.accident_timestamp - INTERVAL 2 HOUR AND n.accident_timestamp + INTERVAL 2 HOUR"""
     )
+
+
+def _candidates(a: DataFrame, w: DataFrame) -> DataFrame:
+    n = gold.nearest_station(a, gold.stations(w)).select("accident_id", "station_id", "accident_timestamp")
+    obs = w.select("station_id", F.col("observation_timestamp").alias("weather_timestamp"), "temperature")
     pairs = time_range_left_join(
-        n, obs, left_id="accident_id", by="station_id", left_ts="accident_timestamp",
-        right_ts="weather_timestamp", tolerance_minutes=120,
+        n, obs, by="station_id", left_ts="accident_timestamp", right_ts="weather_timestamp", tolerance_minutes=120,
     )
     return pairs.select(
         "accident_id", "station_id", "weather_timestamp",
@@ -62,6 +71,33 @@ def weather_candidates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register("weather_candidates", _candidates_sql("A"))
+def weather_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-3: left range join of each accident's station to its observations within ±2 h."""
+    return _candidates(*sub(spark, sf, "A", "W"))
+
+
+@register("weather_candidates_dup", _candidates_sql("A_DUP"))
+def weather_candidates_dup(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-3 over accidents with repeated and null ids."""
+    return _candidates(*sub(spark, sf, "A_DUP", "W"))
+
+
+@register(
+    "range_join_rows",
+    with_sql(("A_DUP", "W"))
+    + """SELECT a.accident_id, a.luminosity, a.station_id, a.accident_timestamp, w.observation_timestamp AS weather_timestamp
+FROM (SELECT *, cast(luminosity * 7 AS varchar) AS station_id FROM A_DUP) a LEFT JOIN W w ON w.station_id = a.station_id
+ AND w.observation_timestamp BETWEEN a.accident_timestamp - INTERVAL 30 MINUTE AND a.accident_timestamp + INTERVAL 30 MINUTE""",
+)
+def range_join_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-3 as a plain left join: rows that share an id, or have none, stay apart."""
+    a, w = sub(spark, sf, "A_DUP", "W")
+    left = a.select("accident_id", "luminosity", (F.col("luminosity") * 7).cast("string").alias("station_id"), "accident_timestamp")
+    right = w.select("station_id", F.col("observation_timestamp").alias("weather_timestamp"))
+    return time_range_left_join(left, right, by="station_id", left_ts="accident_timestamp", right_ts="weather_timestamp", tolerance_minutes=30)
+
+
 @register(
     "weather_asof",
     with_sql(("A", "W"), O.STATIONS, O.NEAREST, O.weather_match(60))

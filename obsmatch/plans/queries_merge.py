@@ -17,12 +17,12 @@ from obsmatch.schemas import (
     WEATHER_COLUMNS,
     WEATHER_KEYS,
 )
+from obsmatch.session import scratch_path
+from obsmatch.sources.sinks import VersionedTable, merge_into
 
 
 def merge_ctes(prefix: str, target: str, staging: str, cols: Sequence[str], keys: Sequence[str], attrs: Sequence[str]) -> list[str]:
     """DuckDB CTEs ``{prefix}_plan`` (action per row) and ``{prefix}_state`` (next target)."""
-    part = ", ".join(keys)
-    order = ", ".join(f"{a} NULLS FIRST" for a in attrs)
     t_cols = ", ".join(f"{c} AS t_{c}" for c in cols)
     s_cols = ", ".join(f"{c} AS s_{c}" for c in cols)
     on = " AND ".join(f"t.t_{k} = s.s_{k}" for k in keys)
@@ -31,13 +31,15 @@ def merge_ctes(prefix: str, target: str, staging: str, cols: Sequence[str], keys
     return [
         f"""{prefix}_j AS (
     SELECT t.*, s.*, (t._t AND s._s) IS TRUE AS _m, ({changed}) AS _c
-    FROM (SELECT {t_cols}, true AS _t FROM {target}) t
-    FULL OUTER JOIN (SELECT {s_cols}, true AS _s, count(*) OVER (PARTITION BY {part}) AS _n,
-                            row_number() OVER (PARTITION BY {part} ORDER BY {order}) AS _rn FROM {staging}) s
-      ON {on})""",
+    FROM (SELECT {t_cols}, true AS _t, row_number() OVER () AS _tid FROM {target}) t
+    FULL OUTER JOIN (SELECT {s_cols}, true AS _s FROM {staging}) s ON {on})""",
+        # Per target row: how many staging rows update it; of those that equal it one is enough.
+        f"""{prefix}_u AS (
+    SELECT *, count_if(_m AND _c) OVER (PARTITION BY _tid) AS _updates, row_number() OVER (PARTITION BY _tid ORDER BY _c DESC) AS _rn
+    FROM {prefix}_j)""",
         f"""{prefix}_plan AS (
     SELECT *, CASE WHEN _m AND _c THEN 'update' WHEN _m THEN 'unchanged' WHEN _s THEN 'insert' ELSE 'untouched' END AS _action
-    FROM {prefix}_j WHERE NOT _m OR _c OR _rn = 1)""",
+    FROM {prefix}_u WHERE NOT _m OR _c OR (_updates = 0 AND _rn = 1))""",
         f"{prefix}_state AS (SELECT {state} FROM {prefix}_plan)",
     ]
 
@@ -53,6 +55,7 @@ def counts_sql(plan: str, keys: Sequence[str]) -> str:
 
 
 ACC = merge_ctes("ma", "TGT_A", "STG_A", ACCIDENT_COLUMNS, ACCIDENT_KEYS, ACCIDENT_ATTRS)
+DUP = merge_ctes("md", "TGT_A", "STG_DUP", ACCIDENT_COLUMNS, ACCIDENT_KEYS, ACCIDENT_ATTRS)
 WEA = merge_ctes("mw", "TGT_W", "STG_W", WEATHER_COLUMNS, WEATHER_KEYS, WEATHER_ATTRS)
 ACC_REPLAY = merge_ctes("ra", "ma_state", "STG_A", ACCIDENT_COLUMNS, ACCIDENT_KEYS, ACCIDENT_ATTRS)
 WEA_REPLAY = merge_ctes("rw", "mw_state", "STG_W", WEATHER_COLUMNS, WEATHER_KEYS, WEATHER_ATTRS)
@@ -108,6 +111,17 @@ def merge_replay_counts(spark: SparkSession, sf: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+@register("merge_dup_staging", with_sql(("TGT_A", "STG_DUP"), *DUP) + "SELECT * FROM md_state")
+def merge_dup_staging(spark: SparkSession, sf: str) -> DataFrame:
+    """UPS-1 with equal and updating staging rows of one key, repeated rows and null keys."""
+    return U.next_state(_merge(spark, sf, "TGT_A", "STG_DUP", ACCIDENT_KEYS, ACCIDENT_ATTRS), ACCIDENT_COLUMNS)
+
+
+@register("merge_dup_counts", with_sql(("TGT_A", "STG_DUP"), *DUP) + "SELECT " + counts_sql("md_plan", ACCIDENT_KEYS))
+def merge_dup_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return U.counts(_merge(spark, sf, "TGT_A", "STG_DUP", ACCIDENT_KEYS, ACCIDENT_ATTRS), ACCIDENT_KEYS)
+
+
 @register(
     "initial_load",
     with_sql(("STG_A",))
@@ -116,12 +130,21 @@ def merge_replay_counts(spark: SparkSession, sf: str) -> DataFrame:
 FROM STG_A""",
 )
 def initial_load(spark: SparkSession, sf: str) -> DataFrame:
-    """UPS-4 / SNK-3: no target yet, so the staging rows become the table as they are."""
+    """UPS-4 / SNK-3: no target yet; what the first load counts."""
     (s,) = sub(spark, sf, "STG_A")
     _, counts = U.upsert(None, s, ACCIDENT_KEYS, ACCIDENT_ATTRS)
     return counts
 
 
+@register("initial_load_state", with_sql(("STG_DUP",)) + "SELECT * FROM STG_DUP")
+def initial_load_state(spark: SparkSession, sf: str) -> DataFrame:
+    """UPS-4 / SNK-3: the table after a first load, read back: the staging rows as they are."""
+    (s,) = sub(spark, sf, "STG_DUP")
+    table = VersionedTable(spark, scratch_path(spark, "first_load"))
+    merge_into(table, s, ACCIDENT_KEYS, ACCIDENT_ATTRS)
+    return table.read()
+
+
 _DIFF_ANY = " OR ".join(f"t.{a} IS DISTINCT FROM s.{a}" for a in ACCIDENT_ATTRS)
 
 

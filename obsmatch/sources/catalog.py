@@ -99,10 +99,11 @@ def pick_accident_resources(catalog: DataFrame, requests: DataFrame) -> DataFram
     """FIL-8 for many requests ``(year int, resource_type)``: candidate count and, when there is
     exactly one, its id. A year matches as a substring of the title (SURVEY Q18), found through
     the title's digit windows so the match is an equi-join, not a cross join."""
-    # Every run of 1 to 9 consecutive digits in the title (overlapping), as text: the year
-    # request matches when its decimal form is one of them.
-    windows = [F.regexp_extract_all(F.col("title"), F.lit(f"(?=([0-9]{{{n}}}))"), 1) for n in range(1, 10)]
-    years = F.array_distinct(F.flatten(F.array(*windows)))
+    # The title's runs (overlapping) of as many characters as some requested year has, as text: the
+    # year request matches when its decimal form is one of them. Widths are a handful of numbers.
+    widths = [r[0] for r in requests.select(F.length(F.col("year").cast("string")).alias("n")).where("n > 0").distinct().collect()]
+    windows = [F.regexp_extract_all(F.col("title"), F.lit(f"(?=([-0-9]{{{n}}}))"), 1) for n in sorted(widths)]
+    years = F.array_distinct(F.flatten(F.array(*windows))) if windows else F.array().cast("array<string>")
     cand = catalog.select(
         "id", "title", F.explode(years).alias("y"), _types_of(F.col("title")).alias("types")
     ).select("id", "title", F.col("y").alias("year_text"), F.explode("types").alias("resource_type"))
@@ -121,13 +122,11 @@ def pick_accident_resources(catalog: DataFrame, requests: DataFrame) -> DataFram
 def pick_weather_resources(catalog: DataFrame, requests: DataFrame) -> DataFrame:
     """FIL-9 for many requests ``(year int, department)``: resources whose title names the
     department and a period ``start-end`` with start <= year <= end."""
-    t = F.col("title")
-    cand = catalog.select(
-        "id",
-        F.lower(F.regexp_extract(t, WEATHER_TITLE, 1)).alias("dep"),
-        F.regexp_extract(t, WEATHER_TITLE, 2).alias("p0"),
-        F.regexp_extract(t, WEATHER_TITLE, 3).alias("p1"),
-    ).where(F.col("dep") != "")
+    named = [F.regexp_extract_all(F.col("title"), F.lit(WEATHER_TITLE), k) for k in (1, 2, 3)]
+    found = catalog.select("id", F.posexplode(F.arrays_zip(*[c.alias(n) for c, n in zip(named, ("dep", "p0", "p1"), strict=True)])).alias("at", "f"))
+    # A title may name several departments; of a department named twice the first period counts.
+    found = found.select("id", "at", F.lower("f.dep").alias("dep"), "f.p0", "f.p1")
+    cand = found.groupBy("id", "dep").agg(F.min(F.struct("at", "p0", "p1")).alias("f")).select("id", "dep", "f.p0", "f.p1")
     req = requests.select("year", "department", F.lower("department").alias("dep"))
     joined = req.join(cand, "dep").where(F.col("year").between(F.col("p0").cast("int"), F.col("p1").cast("int")))
     per = joined.groupBy("year", "department").agg(F.count(F.lit(1)).alias("candidates"), F.min("id").alias("_id"))

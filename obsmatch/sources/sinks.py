@@ -2,21 +2,21 @@
 
 Plain Parquet tables reject MERGE, UPDATE and CREATE OR REPLACE, and a plan may not overwrite
 the path it reads. A ``VersionedTable`` therefore writes every new state to a fresh folder
-``_v=<n>`` and then replaces a one-line pointer file (write to a temporary name, then rename).
-Readers resolve the pointer, so a job that dies mid-write -- an executor lost, a driver killed
--- leaves the previous version in place, and task retries inside the write are handled by
-Spark's commit protocol.
+``_v=<n>``, whose number is claimed by creating a file exclusively, and then creates the file
+``_PUBLISHED`` in that folder. The current version is the highest published one: there is no pointer
+to replace or to lose, two writers never share a folder, and a folder that a dead job left behind is
+never written again nor read. Task retries inside a write are handled by Spark's commit protocol.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-POINTER = "_CURRENT"
-# Touched partitions turned into a static partition filter by ``merge_partitions``.
-MAX_PRUNED_PARTITIONS = 10_000
+PUBLISHED = "_PUBLISHED"
 
 
 def write_partitioned(
@@ -26,24 +26,36 @@ def write_partitioned(
     *,
     mode: str = "overwrite",
     sort_within: Sequence[str] = (),
+    dynamic: bool = False,
+    observe: tuple[Observation, list[Column]] | None = None,
 ) -> None:
-    """SNK-1: zstd Parquet, one folder per partition value; with the session's dynamic
-    partition overwrite only the partitions present in ``df`` are replaced.
-
-    ``sort_within`` clusters rows inside each file (the reference sorts before writing; a
-    global order is not observable downstream, so no range shuffle is paid for it).
+    """SNK-1: zstd Parquet, one folder per partition value. With ``dynamic`` only the partitions
+    present in ``df`` are replaced, otherwise the whole path is.
+
+    Rows are dealt out by the partition columns with a rebalance, so that adaptive execution splits
+    a large partition into several tasks and files. ``sort_within`` clusters rows inside each file
+    (the reference sorts before writing; a global order is not observable downstream, so no range
+    shuffle is paid for it). ``observe`` counts above that exchange: there a retried shuffle does
+    not count twice, and an empty input still reports.
     """
     out = df
     if partition_cols:
-        out = out.repartition(*partition_cols)
+        out = out.hint("rebalance", *[F.col(c) for c in partition_cols])
     if sort_within:
         out = out.sortWithinPartitions(*partition_cols, *sort_within)
-    writer = out.write.mode(mode).option("compression", "zstd")
+    if observe is not None:
+        out = out.observe(observe[0], *observe[1])
+    writer = out.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
 
 
+def partition_id(columns: Sequence[str]) -> Column:
+    """The partition values of a row as one text; nulls are values of their own."""
+    return F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in columns])
+
+
 def ensure_namespaces(spark: SparkSession, names: Sequence[str]) -> None:
     """SNK-5: create each database (namespace) if absent."""
     for name in names:
@@ -61,34 +73,43 @@ class _FS:
     def child(self, name: str):
         return self.jvm.org.apache.hadoop.fs.Path(self.path, name)
 
+    def exists(self, name: str) -> bool:
+        return bool(self.fs.exists(self.child(name)))
+
+    def names(self) -> list[str]:
+        if not self.fs.exists(self.path):
+            return []
+        return [status.getPath().getName() for status in self.fs.listStatus(self.path)]
+
     def read_text(self, name: str) -> str | None:
-        p = self.child(name)
-        if not self.fs.exists(p):
+        if not self.exists(name):
             return None
-        stream = self.fs.open(p)
+        stream = self.fs.open(self.child(name))
         try:
             reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
-            return None if line is None else line.strip()
+            return (reader.readLine() or "").strip()
         finally:
             stream.close()
 
-    def write_text(self, name: str, text: str) -> None:
-        tmp = self.child(f".{name}.tmp")
-        out = self.fs.create(tmp, True)
+    def create(self, name: str, text: str = "") -> bool:
+        """Creates a file with one line; False if it is there already."""
+        from py4j.protocol import Py4JJavaError
+
+        try:
+            out = self.fs.create(self.child(name), False)
+        except Py4JJavaError as e:
+            if self.exists(name):
+                return False
+            raise e
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        dst = self.child(name)
-        if self.fs.exists(dst):
-            self.fs.delete(dst, False)
-        if not self.fs.rename(tmp, dst):
-            raise OSError(f"cannot publish {dst}")
+        return True
 
 
 class VersionedTable:
-    """A table whose state is replaced atomically (SNK-2..4, UPS-4)."""
+    """A table whose state is replaced by publishing a new version (SNK-2..4, UPS-4)."""
 
     def __init__(self, spark: SparkSession, root: str, partition_cols: Sequence[str] = ()):
         self.spark = spark
@@ -96,9 +117,13 @@ class VersionedTable:
         self.partition_cols = list(partition_cols)
         self._fs = _FS(spark, self.root)
 
+    def versions(self) -> list[int]:
+        """The published versions, oldest first."""
+        found = sorted(int(n[3:]) for n in self._fs.names() if n.startswith("_v=") and n[3:].isdigit())
+        return [n for n in found if self._fs.exists(f"_v={n}/{PUBLISHED}")]
+
     def version(self) -> int | None:
-        text = self._fs.read_text(POINTER)
-        return int(text) if text else None
+        return max(self.versions(), default=None)
 
     def exists(self) -> bool:
         return self.version() is not None
@@ -112,13 +137,35 @@ class VersionedTable:
     def read(self, version: int | None = None) -> DataFrame:
         return self.spark.read.parquet(self.path(version))
 
-    def replace(self, df: DataFrame) -> int:
+    def sources(self) -> dict | None:
+        """What the current version was published with: the versions it was built from."""
+        v = self.version()
+        text = None if v is None else self._fs.read_text(f"_v={v}/{PUBLISHED}")
+        return json.loads(text) if text else None
+
+    def claim(self) -> int:
+        """A version number that nobody has or had, with nothing in its folder."""
+        used = [int(n.split("=")[1]) for n in self._fs.names() if n.startswith(("_v=", "_claim=")) and n.split("=")[1].isdigit()]
+        n = max(used, default=-1) + 1
+        while not self._fs.create(f"_claim={n}"):
+            n += 1
+        return n
+
+    def publish(self, version: int, sources: dict | None = None) -> None:
+        if not self._fs.create(f"_v={version}/{PUBLISHED}", json.dumps(sources or {})):
+            raise RuntimeError(f"version {version} of {self.root} is already published")
+
+    def replace(self, df: DataFrame, sources: dict | None = None) -> int:
         """SNK-4: write ``df`` as the next version, then publish it."""
-        current = self.version()
-        nxt = 0 if current is None else current + 1
-        write_partitioned(df, f"{self.root}/_v={nxt}", self.partition_cols)
-        self._fs.write_text(POINTER, str(nxt))
-        return nxt
+        n = self.claim()
+        write_partitioned(df, f"{self.root}/_v={n}", self.partition_cols)
+        self.publish(n, sources)
+        return n
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Deletes published versions but the last ``keep``."""
+        for n in self.versions()[:-keep]:
+            self._fs.fs.delete(self._fs.child(f"_v={n}"), True)
 
 
 def merge_into(
@@ -129,32 +176,25 @@ def merge_into(
 ) -> dict[str, int]:
     """UPS-4 end to end: initialise from staging or merge into the current version.
 
-    One pass: the next state is written while ``observe`` counts the actions of the same plan.
-    The new version is published only when rows were inserted or updated, so a replay leaves
-    the table as it was. Returns the counts.
+    Counting comes first and writes nothing, so a replay costs one join and leaves the table as it
+    was; only a merge that inserts or updates writes and publishes a version. Staging is written
+    once (SNK-2) and read from there by both. Returns the counts.
     """
-    from pyspark.sql import Observation
-
-    from obsmatch.operators.upsert import count_columns, next_state, plan, upsert
-
-    if not table.exists():
-        state, counts = upsert(None, staging, keys, attrs)
-        table.replace(state)
-        return counts.first().asDict()
-
-    target = table.read()
-    planned = plan(target, staging, keys, attrs)
-    obs = Observation("merge")
-    observed = planned.observe(obs, *count_columns(keys))
-    current = table.version()
-    nxt = current + 1
-    write_partitioned(next_state(observed, target.columns), f"{table.root}/_v={nxt}", table.partition_cols)
-    c = {k: int(v) for k, v in obs.get.items()}
-    if c["affected"] > 0:
-        table._fs.write_text(POINTER, str(nxt))
-    else:
-        table._fs.fs.delete(table._fs.child(f"_v={nxt}"), True)
-    return c
+    from obsmatch.operators.upsert import counts, next_state, plan, upsert
+    from obsmatch.session import materialize, scratch_scope
+
+    with scratch_scope(table.spark):
+        staging = materialize(staging, "staging")
+        if not table.exists():
+            state, found = upsert(None, staging, keys, attrs)
+            table.replace(state)
+            return found.first().asDict()
+        target = table.read()
+        planned = plan(target, staging, keys, attrs)
+        found = {k: int(v) for k, v in counts(planned, keys).first().asDict().items()}
+        if found["affected"] > 0:
+            table.replace(next_state(planned, target.columns))
+    return found
 
 
 def merge_partitions(
@@ -170,54 +210,34 @@ def merge_partitions(
 
     Exact when every key determines its partition (weather: the month of the observation hour;
     accidents: a hash bucket of the id), since a staging row can then only match target rows of
-    its own partition. The target scan is pruned to the touched partition values (a static
-    partition filter; a broadcast semi-join when they are very many), the merged partitions are written once to the shared
+    its own partition. The target scan is pruned to the touched partition values, null among them, by
+    one filter on the partition columns; the merged partitions are written once to the shared
     checkpoint folder (a plan may not overwrite what it reads), and then swapped in with Spark's
-    dynamic partition overwrite. Nothing is published when nothing changed. A failure before
+    dynamic partition overwrite. Nothing is written when nothing changes. A failure before
     the final commit leaves the table as it was; as the merge is idempotent, re-running the same
     load repairs a failure during it.
     """
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    from obsmatch.operators.upsert import count_columns, next_state, plan
-    from obsmatch.session import scratch_path, scratch_scope
+    from obsmatch.operators.upsert import counts, next_state, plan, upsert
+    from obsmatch.session import materialize, scratch_path, scratch_scope
 
     parts = list(partition_cols)
     fs = _FS(spark, path)
-    if not fs.fs.exists(fs.path):
-        write_partitioned(staging, path, parts)
-        n = staging.sparkSession.read.parquet(path).count()
-        return {"inserted": n, "updated": 0, "unchanged": 0, "untouched": 0, "affected": n, "null_key_rows": 0}
-
-    target = spark.read.parquet(path)
-    staging = staging.select(*target.columns)
-    # Partition values are metadata: a few months per load. Up to a bound they become a static
-    # partition filter (the scan lists only those folders); beyond it, a semi-join.
-    values = staging.select(*parts).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()
-    if len(values) <= MAX_PRUNED_PARTITIONS:
-        cond = F.lit(False)
-        for row in values:
-            one = F.lit(True)
-            for c in parts:
-                one = one & (F.col(c).isNull() if row[c] is None else (F.col(c) == F.lit(row[c])))
-            cond = cond | one
-        target = target.where(cond)
-    else:
-        target = target.join(F.broadcast(staging.select(*parts).distinct()), parts, "left_semi")
-    target = target.select(*staging.columns)
-    planned = plan(target, staging, keys, attrs)
-    obs = Observation("merge_partitions")
-    state = next_state(planned.observe(obs, *count_columns(keys)), staging.columns)
     with scratch_scope(spark):
-        merged_path = scratch_path(spark, "merged_partitions")
-        state.write.mode("overwrite").parquet(merged_path)
-        c = {k: int(v) for k, v in obs.get.items()}
-        if c["affected"] > 0:
-            previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            try:
-                write_partitioned(spark.read.parquet(merged_path), path, parts)
-            finally:
-                spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    return c
+        staging = materialize(staging, "staging")
+        if not any(n[:1] not in "_." for n in fs.names()):  # no table, or a first load that committed nothing
+            _, found = upsert(None, staging, keys, attrs)
+            write_partitioned(staging, path, parts)
+            return {k: int(v) for k, v in found.first().asDict().items()}
+
+        target = spark.read.parquet(path)
+        staging = staging.select(*target.columns)
+        # One value a folder that the load touches: no more than the file listing holds for them.
+        touched = [r[0] for r in staging.select(partition_id(parts)).distinct().collect()]
+        target = target.where(partition_id(parts).isin(touched)).select(*staging.columns)
+        planned = plan(target, staging, keys, attrs)
+        found = {k: int(v) for k, v in counts(planned, keys).first().asDict().items()}
+        if found["affected"] > 0:
+            merged = scratch_path(spark, "merged_partitions")
+            next_state(planned, staging.columns).write.mode("overwrite").parquet(merged)
+            write_partitioned(spark.read.parquet(merged), path, parts, dynamic=True)
+    return found

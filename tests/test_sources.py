@@ -75,3 +75,16 @@ def test_one_object_guard_and_namespaces(spark, tmp_root):
     assert layout.file_counts(files, ["department"], strict=True).count() == 2
     ensure_namespaces(spark, ["obsmatch_silver", "obsmatch_gold"])
     assert spark.catalog.databaseExists("obsmatch_silver") and spark.catalog.databaseExists("obsmatch_gold")
+
+
+def test_picks_have_no_width_or_first_match_cap(spark):
+    cat = spark.createDataFrame(
+        [(1, "usagers-1234567890", "csv", "u"),
+         (2, "HOR_departement_01_periode_2020-2022 et HOR_departement_02_periode_2019-2021", "csv", "v"),
+         (3, "HOR_departement_03_periode_2000-2001, HOR_departement_03_periode_2020-2021", "csv", "w")],
+        "id long, title string, format string, url string",
+    )
+    reqs = spark.createDataFrame([(1234567890, "usagers")], "year int, resource_type string")
+    assert C.pick_accident_resources(cat, reqs).first()["resource_id"] == 1
+    wea = C.pick_weather_resources(cat, C.weather_requests(spark, [2021], ["1", "2", "3"]))
+    assert {r["department"]: r["resource_id"] for r in wea.collect()} == {"01": 2, "02": 2, "03": None}
