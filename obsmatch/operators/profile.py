@@ -7,7 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsmatch.schemas import CANDIDATE_WEATHER_COLUMNS
+from obsmatch.session import materialize
 
+SAMPLE_ROWS = 5
+# The station columns of the raw files.
 STATION_COLUMNS = ["NUM_POSTE", "NOM_USUEL", "LAT", "LON"]
 
 
@@ -59,13 +62,37 @@ def null_percentages(df: DataFrame, empty_as_null: bool = True) -> DataFrame | N
     )
 
 
+def schema(df: DataFrame) -> DataFrame:
+    """The columns and their types, in order."""
+    return df.sparkSession.createDataFrame([(k, c, t) for k, (c, t) in enumerate(df.dtypes)], "position int, column string, type string")
+
+
+def sample(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    """The first rows as they come."""
+    return df.limit(n)
+
+
 def report(df: DataFrame, empty_as_null: bool = True) -> dict[str, DataFrame]:
-    """PRF-1: every section of the profile whose columns are present, by name."""
+    """PRF-1: every section of the profile whose columns are present, by name.
+
+    All counts come from one aggregation, written as a row; the distinct stations and the sample are
+    the only other reads.
+    """
+    cols = candidates(df)
+    dates = "AAAAMMJJHH" in df.columns
+    value = {c: _value(df, c, empty_as_null) for c in cols}
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs += [F.min("AAAAMMJJHH").alias("min_date"), F.max("AAAAMMJJHH").alias("max_date")] if dates else []
+    aggs += [F.count(v).alias(f"n_{c}") for c, v in value.items()]
+    aggs += [F.round(F.avg(v.isNull().cast("double")) * 100, 2).alias(f"p_{c}") for c, v in value.items()]
+    one = materialize(df.agg(*aggs), "profile")
     sections = {
-        "shape": shape(df),
+        "schema": schema(df),
+        "sample": sample(df),
+        "shape": one.select("rows", F.lit(len(df.columns)).alias("columns")),
         "stations": stations(df),
-        "date_range": date_range(df),
-        "non_null": non_null_counts(df, empty_as_null),
-        "null_pct": null_percentages(df, empty_as_null),
+        "date_range": one.select("min_date", "max_date") if dates else None,
+        "non_null": one.select(*[F.col(f"n_{c}").alias(c) for c in cols]) if cols else None,
+        "null_pct": one.select(*[F.col(f"p_{c}").alias(c) for c in cols]) if cols else None,
     }
     return {k: v for k, v in sections.items() if v is not None}

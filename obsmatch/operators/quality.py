@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsmatch.session import materialize
+
 # Fixed values of the reference: the checks, their kind, and their order.
 CHECKS: list[tuple[str, str]] = [
     ("duplicate_accidents", "violations"),
@@ -53,11 +55,10 @@ def missing_timestamps(gold: DataFrame) -> DataFrame:
     return gold.where(missing_timestamps_flag()).select("accident_id", "accident_timestamp", "weather_timestamp")
 
 
-def matching_coverage(gold: DataFrame) -> DataFrame:
-    """DQ-4: one row of coverage metrics."""
+def _coverage() -> list[Column]:
     total = F.count(F.lit(1))
     matched = F.count_if(F.col("station_id").isNotNull())
-    return gold.agg(
+    return [
         total.alias("total_accidents"),
         matched.alias("matched_accidents"),
         F.count_if(F.col("station_id").isNull()).alias("unmatched_accidents"),
@@ -66,14 +67,13 @@ def matching_coverage(gold: DataFrame) -> DataFrame:
         F.round(F.max("distance_to_station_m"), 1).alias("max_distance_m"),
         F.round(F.avg("weather_time_difference_minutes"), 1).alias("avg_time_difference_min"),
         F.max("weather_time_difference_minutes").alias("max_time_difference_min"),
-    )
+    ]
 
 
-def weather_completeness(gold: DataFrame) -> DataFrame:
-    """DQ-5: null counts of the weather measures; no percentage for wind_direction."""
+def _completeness() -> list[Column]:
     total = F.count(F.lit(1))
     missing = {c: F.count_if(F.col(c).isNull()) for c in ("temperature", "rainfall_1h", "wind_speed", "wind_direction")}
-    return gold.agg(
+    return [
         total.alias("total_accidents"),
         missing["temperature"].alias("missing_temperature"),
         missing["rainfall_1h"].alias("missing_rainfall"),
@@ -82,7 +82,17 @@ def weather_completeness(gold: DataFrame) -> DataFrame:
         F.round(_rate(missing["temperature"], total) * 100, 2).alias("temperature_null_pct"),
         F.round(_rate(missing["rainfall_1h"], total) * 100, 2).alias("rainfall_null_pct"),
         F.round(_rate(missing["wind_speed"], total) * 100, 2).alias("wind_speed_null_pct"),
-    )
+    ]
+
+
+def matching_coverage(gold: DataFrame) -> DataFrame:
+    """DQ-4: one row of coverage metrics."""
+    return gold.agg(*_coverage())
+
+
+def weather_completeness(gold: DataFrame) -> DataFrame:
+    """DQ-5: null counts of the weather measures; no percentage for wind_direction."""
+    return gold.agg(*_completeness())
 
 
 CHECK_FUNCTIONS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -128,7 +138,10 @@ def summary(gold: DataFrame, checks: list[tuple[str, str]] | None = None) -> Dat
 
 
 def violation_sample(gold: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """First ``n`` violating ids per violation check, by id: the printed sample of the reference."""
+    """First ``n`` violating ids per violation check, by id: the printed sample of the reference.
+
+    The input is written once, so that its plan does not run for each check."""
+    gold = materialize(gold.select("accident_id", "latitude", "longitude", "accident_timestamp", "weather_timestamp"), "dq_input")
     parts = [
         duplicate_accidents(gold).select(F.lit("duplicate_accidents").alias("check"), "accident_id"),
         invalid_coordinates(gold).select(F.lit("invalid_coordinates").alias("check"), "accident_id"),
@@ -143,11 +156,24 @@ def run_checks(
     gold: DataFrame, checks: list[tuple[str, str]] | None = None, sample_rows: int = SAMPLE_ROWS
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """DQ-6 runner: the summary, and per check its result (violation checks limited to the first
-    ``sample_rows`` ids, by id). Nothing is collected; the caller decides what to print or fail."""
+    ``sample_rows`` ids, by id). The input is written once and every check reads that table; both metric
+    checks come from one aggregation. Nothing is collected; the caller decides what to print or fail."""
     checks = checks or CHECKS
+    gold = materialize(gold, "dq_input")
     summary_df = summary(gold, checks)
+    metrics = None
     results: dict[str, DataFrame] = {}
     for name, kind in checks:
-        df = CHECK_FUNCTIONS[name](gold)
-        results[name] = df.orderBy(F.col("accident_id").asc_nulls_first()).limit(sample_rows) if kind == "violations" else df
+        if kind == "violations":
+            results[name] = CHECK_FUNCTIONS[name](gold).orderBy(F.col("accident_id").asc_nulls_first()).limit(sample_rows)
+            continue
+        if metrics is None:
+            both = gold.agg(*[c.alias(f"a{k}") for k, c in enumerate(_coverage())], *[c.alias(f"b{k}") for k, c in enumerate(_completeness())])
+            metrics = materialize(both, "dq_metrics")
+        side, names = ("a", _names(_coverage(), gold)) if name == "matching_coverage" else ("b", _names(_completeness(), gold))
+        results[name] = metrics.select(*[F.col(f"{side}{k}").alias(c) for k, c in enumerate(names)])
     return summary_df, results
+
+
+def _names(columns: list[Column], df: DataFrame) -> list[str]:
+    return df.agg(*columns).columns

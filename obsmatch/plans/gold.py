@@ -5,10 +5,10 @@ Plan, with the shuffles it costs:
 
 1. Distinct stations from the weather table (partial aggregate before the shuffle), written once
    as a table; the same write observes their count and the cell-size statistics.
-2. Nearest station per accident: cell candidates joined to the accidents -- broadcast when the
-   candidate rows are under a checked bound -- then ``array_min`` in place (``nearest``).
-3. One row per accident id (SURVEY Q10/Q11), written once as a table; the write observes the
-   row count and the time range.
+2. Nearest station per accident: cell candidates joined to the accidents, then ``array_min`` in
+   place (``nearest``).
+3. One row per accident id (SURVEY Q10/Q11), written once as a table; the write observes the time
+   range.
 4. The weather rows are pruned before any shuffle: that time range (pushed to the Parquet
    scan) and a semi-join on the stations actually chosen.
 5. As-of by hour buckets on narrow pairs, reduced per id before the shuffle; the accident row
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsmatch.operators.asof import DEFAULT_BROADCAST_MAX_ROWS, nearest_in_time, time_range_pairs
+from obsmatch.operators.asof import nearest_in_time, time_range_pairs
 from obsmatch.operators.nearest import PreparedSites, nearest, prepare_sites
 from obsmatch.schemas import ACCIDENT_COLUMNS, GOLD_COLUMNS, WEATHER_VALUES
 
@@ -81,7 +81,6 @@ def accident_weather(
     *,
     tolerance_minutes: int = TOLERANCE_MINUTES,
     edge: float | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """The Gold table: 18 columns in the reference's order, one row per accident id."""
     accidents = accidents.select(*ACCIDENT_COLUMNS)
@@ -104,7 +103,6 @@ def accident_weather(
         rank_prefix=["distance_to_station_m", "station_id", "station_name", "_s_lat", "_s_lon"],
         diff_col="weather_time_difference_minutes",
         ts_out="weather_timestamp",
-        broadcast_max_rows=broadcast_max_rows,
         right_partition_filter=year_filter,
     )
     return matched.select(*GOLD_COLUMNS)

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmatch.operators.asof import nearest_in_time, time_range_left_join
-from obsmatch.plans import gold
+from obsmatch.plans import gold, queries_merge
 from obsmatch.plans import oracle as O
+from obsmatch.plans.jobs import load_and_build_gold
 from obsmatch.plans.registry import register, sub, with_sql
 from obsmatch.schemas import WEATHER_VALUES
+from obsmatch.session import scratch_path
+from obsmatch.sources.sinks import VersionedTable
 
 _DIST = O.spark_round("distance_to_station_m", 3)
 
@@ -130,3 +133,22 @@ def gold_accident_weather(spark: SparkSession, sf: str) -> DataFrame:
     a, w = sub(spark, sf, "A", "W")
     g = gold.accident_weather(a, w)
     return g.withColumn("distance_to_station_m", F.round("distance_to_station_m", 3))
+
+
+_STATE_A, _STATE_W = "ma_state", "mw_state"
+
+
+@register(
+    "job_load_gold",
+    with_sql(("TGT_A", "STG_A", "TGT_W", "STG_W"), *queries_merge.ACC, *queries_merge.WEA, O.STATIONS.replace("FROM W", f"FROM {_STATE_W}"),
+             O.NEAREST.replace("FROM A a", f"FROM {_STATE_A} a"), O.weather_match(120).replace("LEFT JOIN W w", f"LEFT JOIN {_STATE_W} w"))
+    + O.GOLD_SELECT.replace("round(distance_to_station_m, 3)", _DIST)
+    + " FROM wm",
+)
+def job_load_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB-3: two loads of accidents and weather, the second merged, and Gold brought up to date: equal to a
+    full rebuild from the merged tables."""
+    paths = [scratch_path(spark, f"job_{n}") for n in ("accidents", "weather", "gold")]
+    for accidents, weather in (("TGT_A", "TGT_W"), ("STG_A", "STG_W")):
+        load_and_build_gold(spark, *sub(spark, sf, accidents, weather), *paths)
+    return VersionedTable(spark, paths[2]).read().withColumn("distance_to_station_m", F.round("distance_to_station_m", 3))

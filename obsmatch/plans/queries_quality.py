@@ -14,6 +14,7 @@ from obsmatch.plans import gold
 from obsmatch.plans import oracle as O
 from obsmatch.plans.queries_gold import GOLD_SQL
 from obsmatch.plans.registry import register, sub
+from obsmatch.session import materialize
 
 BAD_SQL = (
     GOLD_SQL.rstrip()
@@ -29,7 +30,7 @@ g AS (SELECT * FROM bad0 UNION ALL SELECT * FROM bad0 WHERE cast(accident_id AS
 
 def bad_gold(spark: SparkSession, sf: str) -> DataFrame:
     a, w = sub(spark, sf, "A", "W")
-    g = gold.accident_weather(a, w)
+    g = materialize(gold.accident_weather(a, w), "gold")  # every check reads the same table
     i = F.col("accident_id").cast("bigint")
     g = g.withColumns(
         {

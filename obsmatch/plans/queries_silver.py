@@ -28,15 +28,15 @@ def d_pad(x: str, n: int) -> str:
 
 
 def d_ts(x: str) -> str:
-    return f"(CASE WHEN regexp_matches({x}, '{X.COMPACT_TS_PATTERN}') THEN try_strptime({x}, '%Y%m%d%H%M') END)"
+    return f"(CASE WHEN regexp_matches({x}, '^[0-9]{{12}}$') THEN try_strptime({x}, '%Y%m%d%H%M') END)"
 
 
 def d_double(x: str) -> str:
-    return f"(CASE WHEN regexp_matches({x}, '{X.DECIMAL_PATTERN}') THEN TRY_CAST({x} AS DOUBLE) END)"
+    return rf"(CASE WHEN regexp_matches({x}, '^(\+|-)?([0-9]+|[0-9]+\.[0-9]*|\.[0-9]+)([eE](\+|-)?[0-9]+)?$') THEN TRY_CAST({x} AS DOUBLE) END)"
 
 
 def d_long(x: str) -> str:
-    return f"(CASE WHEN regexp_matches({x}, '{X.INTEGER_PATTERN}') THEN TRY_CAST({x} AS BIGINT) END)"
+    return rf"(CASE WHEN regexp_matches({x}, '^(\+|-)?[0-9]+$') THEN TRY_CAST({x} AS BIGINT) END)"
 
 
 def d_clean_time(x: str) -> str:

@@ -69,6 +69,17 @@ def catalog_filter(spark: SparkSession, sf: str) -> DataFrame:
     return C.filter_resources(catalog_df(spark, sf), CONTAINS, FORMAT).select(*C.RESOURCE_COLUMNS)
 
 
+@register(
+    "catalog_explore",
+    with_sql(("CAT",), RES_SQL)
+    + f"""SELECT id, title, format, cast(NULL AS bigint) AS filesize, cast(NULL AS varchar) AS last_modified, url FROM res
+WHERE contains(lower(title), '{CONTAINS}') AND lower(format) = '{FORMAT}' ORDER BY id LIMIT {TOP_N}""",
+)
+def catalog_explore(spark: SparkSession, sf: str) -> DataFrame:
+    """PRF-2: filter, six columns and limit in one."""
+    return C.explore(catalog_df(spark, sf), CONTAINS, FORMAT, TOP_N)
+
+
 @register(
     "catalog_top",
     with_sql(("CAT",), RES_SQL)
@@ -215,15 +226,23 @@ def source_file_counts(spark: SparkSession, sf: str) -> DataFrame:
     return layout.file_counts(layout.landed_files(spark, root), ["department", "period"], strict=True)
 
 
-@register("source_lineage")
+_FILE_SQL = "nullif(regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1), '')"
+
+
+@register(
+    "source_lineage",
+    with_sql(("CAT",), RES_SQL)
+    + f"""SELECT {_FILE_SQL} AS resource, lpad(cast(id % 7 AS varchar), 2, '0') AS department, id, title, url
+FROM res WHERE {_FILE_SQL} IS NOT NULL""",
+)
 def source_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    """SRC-6: landed objects joined back to the catalog resource (url, title) they came from."""
-    cat = catalog_df(spark, sf)
+    """SRC-6: landed objects joined back to the catalog resource they came from, by folder and file name."""
+    cat = catalog_df(spark, sf).withColumn("department", F.lpad((F.col("id") % 7).cast("string"), 2, "0"))
     root = scratch_path(spark, "landed")
-    landed = cat.select("id", "title", "url", url_filename("url").alias("resource")).where(F.col("resource").isNotNull())
-    write_delimited(landed, root, partition_cols=["resource"])
+    landed = cat.select("department", url_filename("url").alias("resource"), F.col("id").cast("string").alias("body")).where(F.col("resource").isNotNull())
+    write_delimited(landed.distinct(), root, partition_cols=["department", "resource"])
     files = layout.landed_files(spark, root)
-    return layout.lineage(files, cat, file_key="resource").select("resource", "id", "title", "url")
+    return layout.lineage(files, cat, file_key="resource", keys=["department"]).select("resource", files["department"], "id", "title", "url").distinct()
 
 
 @register("parquet_roundtrip", with_sql(("W",)) + "SELECT * FROM W")

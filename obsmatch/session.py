@@ -23,7 +23,6 @@ SQL_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     # Fused stages whose generated method exceeds the JVM's JIT limit (8000 bytes of bytecode)
     # would run interpreted; above this size Spark splits them instead.

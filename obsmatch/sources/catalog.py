@@ -77,6 +77,11 @@ def top(df: DataFrame, n: int = 20) -> DataFrame:
     return df.select(*RESOURCE_COLUMNS).orderBy("id").limit(n)
 
 
+def explore(df: DataFrame, contains: str | None = None, file_format: str | None = None, n: int = 20) -> DataFrame:
+    """PRF-2: the first resources, by id, whose title and format fit: filter, six columns, limit."""
+    return top(filter_resources(df, contains, file_format), n)
+
+
 def weather_period(title: Column) -> Column:
     """FN-13: ``YYYY-YYYY`` after ``periode_``; null when absent."""
     return F.nullif(F.regexp_extract(title, PERIOD, 1), F.lit(""))

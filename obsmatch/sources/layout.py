@@ -50,7 +50,14 @@ def file_counts(
     return out
 
 
-def lineage(files: DataFrame, catalog: DataFrame, file_key: str = "file_name") -> DataFrame:
-    """SRC-6: each landed file with the catalog resource (url, title) whose URL names it."""
-    cat = catalog.select("id", "title", "url", url_filename("url").alias("_fname")).where(F.col("_fname").isNotNull())
-    return files.join(cat, files[file_key] == cat["_fname"], "left").drop("_fname")
+def lineage(files: DataFrame, catalog: DataFrame, file_key: str = "file_name", keys: Sequence[str] = ()) -> DataFrame:
+    """SRC-6: each landed file with the catalog resource (url, title) that it came from.
+
+    A resource is known by the file name in its URL and by ``keys``, the partition values that files and
+    catalog share: two resources of one file name in different folders keep their own url and title.
+    """
+    cat = catalog.select("id", "title", "url", url_filename("url").alias("_fname"), *[F.col(k).cast("string").alias(f"_k_{k}") for k in keys])
+    same = files[file_key] == cat["_fname"]
+    for k in keys:
+        same = same & files[k].cast("string").eqNullSafe(cat[f"_k_{k}"])
+    return files.join(cat.where(F.col("_fname").isNotNull()), same, "left").drop("_fname", *[f"_k_{k}" for k in keys])

@@ -44,8 +44,13 @@ def test_run_checks_and_profile_report(spark):
     s, results = quality.run_checks(g)
     assert [r["check"] for r in s.orderBy("pos").collect()] == [c for c, _ in quality.CHECKS]
     assert [r["accident_id"] for r in results["duplicate_accidents"].collect()] == ["dup"]
+    for name in ("matching_coverage", "weather_completeness"):
+        direct = quality.CHECK_FUNCTIONS[name](g)
+        assert results[name].columns == direct.columns and results[name].collect() == direct.collect()
+    plan = results["matching_coverage"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "Join" not in plan
     raw = spark.createDataFrame([("1", "S", "45", "1", "2024010100", "", "3")], "NUM_POSTE string, NOM_USUEL string, LAT string, LON string, AAAAMMJJHH string, T string, FF string")
     rep = profile.report(raw)
-    assert set(rep) == {"shape", "stations", "date_range", "non_null", "null_pct"}
+    assert set(rep) == {"schema", "sample", "shape", "stations", "date_range", "non_null", "null_pct"}
     assert rep["non_null"].columns == ["FF", "T"] and tuple(rep["non_null"].first()) == (1, 0)
-    assert set(profile.report(raw.select("T"))) == {"shape", "non_null", "null_pct"}
+    assert set(profile.report(raw.select("T"))) == {"schema", "sample", "shape", "non_null", "null_pct"}
