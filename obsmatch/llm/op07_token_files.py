@@ -97,7 +97,7 @@ class Encoder:
         begin, size = self.at[flat], self.at[flat + 1] - self.at[flat]
         ends = np.cumsum(size)
         ids = self.ids[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size - begin, size)]
-        piece_at = np.concatenate([[0], np.cumsum([len(p) for p in split])])
+        piece_at = np.cumsum([0, *map(len, split)])
         total = np.concatenate([[0], ends])
         counts = total[piece_at[1:]] - total[piece_at[:-1]]
         if all(simple):
@@ -142,7 +142,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "
             lo = 0
             while lo < len(texts):
                 hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size < 1 << 20):  # about a million characters at a time
+                while hi < len(texts) and (hi == lo or size < min(1 << 20, shard_tokens)):  # about a million characters at a time
                     size += len(texts[hi])
                     hi += 1
                 flat, n = encoder(tokenizer).encode(texts[lo:hi])
