@@ -25,7 +25,7 @@ def test_each_stage_on_what_the_one_before_kept(llm):
     con.register("left_", after.toPandas())
     con.execute("CREATE TABLE kept AS SELECT * FROM left_")
     mixed = seen["mixing"][1]
-    copies = con.execute(f"SELECT sum(n_copies) FROM ({op02_mixing.oracle('kept')})").fetchone()[0]
+    copies = con.execute(f"SELECT sum(n_copies) FROM ({op02_mixing.oracle('kept')})").fetchall()[0][0]
     assert mixed.count() == copies
     con.register("mixed_", mixed.toPandas())
     con.execute("CREATE TABLE mixed AS SELECT * FROM mixed_")
