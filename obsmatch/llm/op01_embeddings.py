@@ -149,7 +149,8 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_
 
     kind = dict(reps.dtypes)
     found = reps.mapInArrow(cells_of, f"l {kind['l']}, rid {kind['rid']}, mult bigint, size bigint, cell bigint, v binary")
-    group = F.xxhash64("l", "size", "cell").alias("g")  # a clash only adds candidates: labels and sizes are compared again
+    # A clash of this hash only adds candidates: lengths, labels and cells are compared again.
+    group = F.xxhash64("l", "size", "cell").alias("g")
     hot = found.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk)
     hot = hot.select(F.col("g").alias("hot_g"), F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
     hot = materialize(hot, "hot")
@@ -185,8 +186,13 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_
     )
 
 
-def _compare(use, at, column, rid, mult, own, cell, lab, first, last, dtype, cosine, radius, seed) -> Iterator[pa.RecordBatch]:
-    """Sums of links and spanning trees of the pairs that count in the groups of one vector length."""
+def _compare(
+    use: np.ndarray, at: np.ndarray, column: pa.ChunkedArray, rid: np.ndarray, mult: np.ndarray, own: np.ndarray, cell: np.ndarray,
+    lab: np.ndarray, first: np.ndarray, last: np.ndarray, dtype: type, cosine: float, radius: float, seed: int,
+) -> Iterator[pa.RecordBatch]:
+    """Sums of links and spanning trees of the pairs that count in the groups of one vector length.
+
+    ``use`` has the rows of that length, ``at`` the offsets of the groups; the other arrays are by row."""
     raw = _vectors(column.combine_chunks().take(pa.array(use)), dtype)
     x = unit(raw)
     group = np.searchsorted(at, use, "right") - 1

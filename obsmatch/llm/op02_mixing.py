@@ -121,9 +121,12 @@ def mix(
     # A range inside the budget is taken whole; the first that is not inside is looked at row by row.
     edges = sums.where("before <= rest").select(*levels, "part", "before", (F.col("upto") <= F.col("rest")).alias("inside"))
     placed = placed.join(edges, [*levels, "part"], "left")
-    cut = placed.where("not inside")
-    within = W.partitionBy(*levels, "part").orderBy("h", key)  # equal rows share a sum
-    cut = cut.withColumn("extra", (F.col("before") + F.sum("n_tokens").over(within) <= F.col("rest")).cast("int"))
+    # Equal rows meet as one row and a count first: however often a key is repeated, it is one row of the window.
+    cut = placed.where("not inside").groupBy(*placed.columns).agg(F.count(F.lit(1)).alias("rows"))
+    within = W.partitionBy(*levels, "part").orderBy("h", key)  # rows of one place share a sum
+    upto = F.col("before") + F.sum(F.col("n_tokens") * F.col("rows")).over(within)
+    cut = cut.withColumn("extra", (upto <= F.col("rest")).cast("int"))
+    cut = cut.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).drop("rows", "copy")
     whole = placed.where("inside is null or inside").withColumn("extra", F.when(F.col("inside"), 1).otherwise(0))
     out = whole.unionByName(cut).withColumn("n_copies", F.col("whole") + F.col("extra"))
     return out.where("n_copies > 0").select(key, *levels, "n_tokens", "n_copies")

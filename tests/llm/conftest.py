@@ -23,7 +23,3 @@ def duck():
         return sorted(map(repr, con.execute(sql).fetchall()))
 
     return run
-
-
-def rows(df, *columns):
-    return sorted(repr(tuple(r)) for r in df.select(*columns).collect())

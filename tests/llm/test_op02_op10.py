@@ -14,7 +14,7 @@ def corpus(n=400):
         lang = (None, "en", "de", "fr", "es")[0 if k % 29 == 0 else 1 + (k * k) % 4]
         text = None if k % 23 == 0 else "" if k % 19 == 0 else "  \n" if k % 31 == 0 else "w " * (1 + (k * 7919) % 97)
         out.append((None if k == 7 else k, text, lang, source, 1, 1))
-    return out + [out[50]] * 5 + [(None, "null id again", "en", "src1", 1, 1)]
+    return out + [out[50]] * 5 + [out[51]] * 150 + [(None, "null id again", "en", "src1", 1, 1)]
 
 
 def frame(data):
