@@ -9,10 +9,11 @@ their weighted Jaccard similarity. Points are drawn in order of time and only wh
 latest component so far, so a long text costs about one draw for each run.
 
 Steps: equal word sequences become one representative (128-bit fingerprint); signatures of 160 components in 32
-bands of 5 give buckets; within a bucket, members are compared with one hub, exactly; what is still unconnected
-after ``ROUNDS`` hubs is compared pair by pair, in blocks, with everything in its bucket that it is not yet
-connected with. So no bucket is ever expanded into all its pairs, and no pair of a bucket whose verification could
+bands of 5 give buckets; a bucket's members are compared, exactly, with its hub, the member that meets most
+others; what that leaves unconnected is compared with everything in its bucket that it is not yet connected with, in
+blocks. So no bucket is ever expanded into all its pairs, and no pair of a bucket whose verification could
 change a class is left out. Links are pairs with similarity of 0.8 or more (sum of minima over sum of maxima).
+Texts travel compressed, and only those of documents that share a bucket.
 A pair at exactly 0.8 shares no bucket with probability (1 - 0.8**5)**32, about 3e-6.
 
 Defined cases: texts without words (null, empty, only punctuation) have no runs and are near nothing; a row with a
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsmatch.llm.common import groups, materialize, slices, string_column, text_buffers, with_arrow_columns
@@ -37,10 +38,9 @@ SHINGLE = 5
 #: Similarity at which two documents are linked, as a fraction.
 NEAR = (4, 5)
 BANDS, ROWS = 32, 5
-#: Hubs that a bucket is compared with before its rest is compared in blocks.
-ROUNDS = 3
-#: Members that are compared with a hub, or with one another, at once.
-CHUNK = 64
+#: Members that are compared with a hub, or with one another, at once: that many, or that many runs of theirs.
+CHUNK = 256
+CHUNK_RUNS = 200_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -150,10 +150,10 @@ def _near(common: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 def star_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (hub, rid) of the members of each group (hub, chunk) that are near the hub."""
-    for t, at in groups(batches, ["hub", "chunk"]):
+    for t, at in groups(batches, ["hub", "chunk"], 2 << 20):
         hub, rid = t.column("hub").to_numpy(), t.column("rid").to_numpy()
         group = np.repeat(np.arange(len(at) - 1), np.diff(at))
-        element, row, n = _bags(t.column("text"))
+        element, row, n = _bags(_unpack(t.column("z")))
         own = mix(element ^ mix(group.astype(np.uint64) + np.uint64(1))[row])
         is_hub = hub == rid
         lead = np.zeros(len(at) - 1, np.int64)
@@ -171,9 +171,9 @@ def star_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between outsiders and all members of each block, as many as connect what they connect."""
-    for t, at in groups(batches, ["bucket", "part", "chunk"]):
+    for t, at in groups(batches, ["bucket", "part", "chunk"], 2 << 20):
         rid, comp, outside = (t.column(c).to_numpy(zero_copy_only=False) for c in ("rid", "comp", "outside"))
-        element, row, n = _bags(t.column("text"))
+        element, row, n = _bags(_unpack(t.column("z")))
         row_at = np.concatenate([[0], np.cumsum(n)])
         a, b = [], []
         for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -188,9 +188,9 @@ def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = (shared[place] == e) if len(shared) else np.zeros(len(e), bool)
             side = np.zeros(hi - lo, np.int64)
             side[out - lo], side[all_ - lo] = np.arange(len(out)), np.arange(len(all_))
-            for c in range(0, len(shared), 1 << 15):  # columns at a time: bounded matrices
-                use = known & (place >= c) & (place < c + (1 << 15))
-                left = np.zeros((len(out), min(1 << 15, len(shared) - c)), np.float32)
+            for c in range(0, len(shared), 1 << 14):  # columns at a time: bounded matrices
+                use = known & (place >= c) & (place < c + (1 << 14))
+                left = np.zeros((len(out), min(1 << 14, len(shared) - c)), np.float32)
                 right = np.zeros((len(all_), left.shape[1]), np.float32)
                 u = use & outside[r]
                 left[side[r[u] - lo], place[u] - c] = 1
@@ -214,30 +214,51 @@ def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _packed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(rid, z) with the texts compressed."""
+
+    def pack(batch: pa.RecordBatch) -> list[pa.Array]:
+        from zstandard import ZstdCompressor
+
+        data, at = text_buffers(string_column(batch, "_text"))
+        press = ZstdCompressor(level=3).compress
+        view = memoryview(np.ascontiguousarray(data))
+        return [pa.array([press(view[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())]
+
+    return with_arrow_columns(docs.select(F.col(key).alias("rid"), F.col(text).alias("_text")), "z binary", pack, drop=("_text",))
+
+
+def _unpack(column: pa.ChunkedArray) -> pa.Array:
+    from zstandard import ZstdDecompressor
+
+    unpress = ZstdDecompressor().decompress
+    return pa.array([unpress(z.as_buffer()) if z.is_valid else b"" for z in column], pa.binary()).cast(pa.string())
+
+
+def _chunks(n: str, runs: str) -> Column:
+    return F.ceil(F.greatest(F.col(n) / CHUNK, F.col(runs) / CHUNK_RUNS)).cast("int")
+
+
 def _compare_with_hub(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links among (hub, rid): members in chunks, each with a copy of its hub."""
-    chunks = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    """Links among (hub, rid, n_runs): members in chunks, each with a copy of its hub."""
+    chunks = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.sum("n_runs").alias("runs")).select("hub", _chunks("n", "runs").alias("chunks"))
     members = pairs.join(chunks, "hub").select("hub", F.pmod(F.xxhash64("rid"), F.col("chunks")).cast("int").alias("chunk"), "rid")
     hubs = chunks.select("hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("hub").alias("rid"))
-    rows = members.union(hubs).join(texts, "rid").select("hub", "chunk", "rid", "text")
+    rows = members.union(hubs).join(texts, "rid").select("hub", "chunk", "rid", "z")
     return rows.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk").mapInArrow(star_links, "a bigint, b bigint")
 
 
 def _compare_blocks(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between each bucket's members outside its largest component and all its members."""
-    sizes = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    buckets = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps"))
-    buckets = buckets.where("comps > 1 and n > 2").select(
-        "bucket",
-        F.col("most.comp").alias("main"),
-        F.ceil((F.col("n") - F.col("most.n")) / CHUNK).cast("int").alias("parts"),
-        F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"),
-    )
+    sizes = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_runs").alias("runs"))
+    buckets = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp", "runs")).alias("most"), F.sum("n").alias("n"), F.sum("runs").alias("runs"))
+    buckets = buckets.withColumn("out_n", F.col("n") - F.col("most.n")).withColumn("out_runs", F.col("runs") - F.col("most.runs"))
+    buckets = buckets.select("bucket", F.col("most.comp").alias("main"), _chunks("out_n", "out_runs").alias("parts"), _chunks("n", "runs").alias("chunks"))
     own = rows.join(buckets, "bucket").withColumn("p", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
     own = own.withColumn("c", F.pmod(F.xxhash64("rid", F.lit(1)), F.col("chunks")).cast("int"))
     outside = own.where("comp <> main").select("bucket", F.col("p").alias("part"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "rid", "comp", F.lit(True).alias("outside"))
     inside = own.select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("c").alias("chunk"), "rid", "comp", F.lit(False).alias("outside"))
-    blocks = outside.union(inside).join(texts, "rid").select("bucket", "part", "chunk", "rid", "comp", "outside", "text")
+    blocks = outside.union(inside).join(texts, "rid").select("bucket", "part", "chunk", "rid", "comp", "outside", "z")
     keys = ["bucket", "part", "chunk"]
     return blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(block_links, "a bigint, b bigint")
 
@@ -247,28 +268,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     signed = materialize(signatures(docs, key, text), "signatures")
     known = signed.where("id is not null and hi is not null")
     classes = materialize(known.groupBy("hi", "lo").agg(F.min("id").alias("rid")), "classes")
-    of = known.select("id", "hi", "lo").join(classes, ["hi", "lo"]).select("id", "rid").distinct()
-    of = materialize(of, "representatives")
+    of = materialize(known.select("id", "hi", "lo").join(classes, ["hi", "lo"]).select("id", "rid").distinct(), "representatives")
     reps = known.join(classes, (known["hi"] == classes["hi"]) & (known["lo"] == classes["lo"]) & (known["id"] == classes["rid"]))
-    entries = reps.select("rid", F.explode("bands").alias("bucket")).distinct()
-    buckets = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("hub"), F.bit_xor(F.xxhash64("rid")).alias("x")).where("n > 1")
+    entries = reps.select("rid", "n_runs", F.explode("bands").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    members = materialize(entries.join(shared, "bucket").distinct(), "entries")
     # Buckets of the same members, as near copies have in many bands, are one.
-    buckets = buckets.groupBy("n", "hub", "x").agg(F.min("bucket").alias("bucket"))
-    members = materialize(entries.join(buckets, "bucket").select("bucket", "n", "hub", "rid"), "members")
-    involved = members.select("rid").distinct()
-    texts = docs.select(F.col(key).alias("rid"), F.col(text).alias("text")).join(involved, "rid", "left_semi")
-    texts = materialize(texts, "texts")
-
-    links = materialize(_compare_with_hub(members.where("rid <> hub").select("hub", "rid").distinct(), texts), "links")
+    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("least"), F.bit_xor(F.xxhash64("rid")).alias("x"))
+    buckets = buckets.where("n > 1").groupBy("n", "least", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    members = materialize(members.join(buckets, "bucket"), "members")
+    met = members.groupBy("rid").agg(F.sum("n").alias("met"))
+    hubs = members.join(met, "rid").groupBy("bucket").agg(F.max_by("rid", F.struct("met", -F.col("rid"))).alias("hub"))
+    members = materialize(members.join(hubs, "bucket"), "hubs")
+    texts = materialize(_packed(docs, key, text).join(members.select("rid").distinct(), "rid", "left_semi"), "texts")
+
+    pairs = members.where("rid <> hub").select("hub", "rid", "n_runs").distinct()
+    links = materialize(_compare_with_hub(pairs, texts), "links")
     state = _open_buckets(members, links)
-    for turn in range(1, ROUNDS):
-        if state.isEmpty():
-            break
-        hubs = state.groupBy("bucket").agg(F.min_by("rid", F.xxhash64("rid", F.lit(turn))).alias("hub"))
-        lead = state.select("bucket", F.col("rid").alias("hub"), F.col("comp").alias("hub_comp"))
-        pairs = state.drop("hub").join(hubs, "bucket").join(lead, ["bucket", "hub"]).where("comp <> hub_comp")
-        links = materialize(links.union(_compare_with_hub(pairs.select("hub", "rid").distinct(), texts)), "links")
-        state = _open_buckets(members, links)
     if not state.isEmpty():
         links = materialize(links.union(_compare_blocks(state, texts)), "links")
 
@@ -282,7 +298,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def _open_buckets(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members, with their components so far, of the buckets of three or more that hold several components."""
     comp = components(links)
-    rows = members.where("n > 2").join(comp, members["rid"] == comp["node"], "left").select("bucket", "hub", "rid", F.coalesce("component", "rid").alias("comp"))
+    rows = members.where("n > 2").join(comp, members["rid"] == comp["node"], "left").select("bucket", "rid", "n_runs", F.coalesce("component", "rid").alias("comp"))
     rows = materialize(rows, "placed")
     still = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
     return materialize(rows.join(still, "bucket"), "open")
