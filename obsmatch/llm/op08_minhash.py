@@ -131,11 +131,13 @@ def _bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(element, row, elements by row): each run's n-th occurrence as an element of its own, so that multiset
     overlap is plain overlap."""
     data, offsets = text_buffers(texts)
-    rows = len(offsets) - 1
-    _, _, values, at = word_spans(data, offsets)
-    sh, sh_at = shingles(values, at, SHINGLE)
-    n = np.diff(sh_at)
-    row = np.repeat(np.arange(rows), n)
+    parts = []
+    for _, _, part, part_at in slices(data, offsets, 1 << 20):
+        _, _, values, at = word_spans(part, part_at)
+        parts.append(shingles(values, at, SHINGLE))
+    sh = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
+    n = np.concatenate([np.diff(p[1]) for p in parts]) if parts else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(n)), n)
     order = np.lexsort((sh, row))
     sh = sh[order]
     new = np.ones(len(sh), bool)
@@ -244,7 +246,7 @@ def _compare_with_hub(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     chunks = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.sum("n_runs").alias("runs")).select("hub", _chunks("n", "runs").alias("chunks"))
     members = pairs.join(chunks, "hub").select("hub", F.pmod(F.xxhash64("rid"), F.col("chunks")).cast("int").alias("chunk"), "rid")
     hubs = chunks.select("hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("hub").alias("rid"))
-    rows = members.union(hubs).join(texts, "rid").select("hub", "chunk", "rid", "z")
+    rows = members.union(hubs).join(texts.hint("merge"), "rid").select("hub", "chunk", "rid", "z")
     return rows.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk").mapInArrow(star_links, "a bigint, b bigint")
 
 
@@ -258,7 +260,7 @@ def _compare_blocks(rows: DataFrame, texts: DataFrame) -> DataFrame:
     own = own.withColumn("c", F.pmod(F.xxhash64("rid", F.lit(1)), F.col("chunks")).cast("int"))
     outside = own.where("comp <> main").select("bucket", F.col("p").alias("part"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "rid", "comp", F.lit(True).alias("outside"))
     inside = own.select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("c").alias("chunk"), "rid", "comp", F.lit(False).alias("outside"))
-    blocks = outside.union(inside).join(texts, "rid").select("bucket", "part", "chunk", "rid", "comp", "outside", "z")
+    blocks = outside.union(inside).join(texts.hint("merge"), "rid").select("bucket", "part", "chunk", "rid", "comp", "outside", "z")
     keys = ["bucket", "part", "chunk"]
     return blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(block_links, "a bigint, b bigint")
 
@@ -272,7 +274,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     reps = known.join(classes, (known["hi"] == classes["hi"]) & (known["lo"] == classes["lo"]) & (known["id"] == classes["rid"]))
     entries = reps.select("rid", "n_runs", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = materialize(entries.join(shared, "bucket").distinct(), "entries")
+    # Merge joins whatever the size: both sides grow with the corpus, and AQE splits a hot bucket.
+    members = materialize(entries.join(shared.hint("merge"), "bucket").distinct(), "entries")
     # Buckets of the same members, as near copies have in many bands, are one.
     buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("least"), F.bit_xor(F.xxhash64("rid")).alias("x"))
     buckets = buckets.where("n > 1").groupBy("n", "least", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
@@ -280,7 +283,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     met = members.groupBy("rid").agg(F.sum("n").alias("met"))
     hubs = members.join(met, "rid").groupBy("bucket").agg(F.max_by("rid", F.struct("met", -F.col("rid"))).alias("hub"))
     members = materialize(members.join(hubs, "bucket"), "hubs")
-    texts = materialize(_packed(docs, key, text).join(members.select("rid").distinct(), "rid", "left_semi"), "texts")
+    texts = materialize(_packed(docs, key, text).join(members.select("rid").distinct().hint("merge"), "rid", "left_semi"), "texts")
 
     pairs = members.where("rid <> hub").select("hub", "rid", "n_runs").distinct()
     links = materialize(_compare_with_hub(pairs, texts), "links")

@@ -34,16 +34,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, bits: int) -> np.ndarray:
-    out = np.full(1 << bits, base, np.uint64)
-    out[0] = 1
+#: Numbers of powers that are kept; a longer text's are made for it alone.
+_KEPT = 1 << 21
+
+
+def _make_powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+@lru_cache(maxsize=6)
+def _kept_powers(base: int, bits: int) -> np.ndarray:
+    return _make_powers(base, 1 << bits)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
-    return _powers(base, max(16, int(n).bit_length()))[:n]
+    return _kept_powers(base, max(16, int(n).bit_length()))[:n] if n < _KEPT else _make_powers(base, int(n))
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
