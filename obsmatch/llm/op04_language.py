@@ -2,7 +2,9 @@
 
 A text is the set of its byte n-grams (1 to 5 bytes, A-Z lower-cased, every run of bytes below 0x41 that is not an
 apostrophe as one space): presence, not counts. The kernel of two texts is the number of n-grams they share, over the
-geometric mean of their own numbers. Landmarks are a bounded sample of the labelled texts; the Nystroem map of the
+geometric mean of their own numbers. A text longer than ``SLICE`` is all of its consecutive slices of about equal
+length, at most that long, and its kernel the mean of theirs: presence over a whole long text would be nearly all
+n-grams in any language. N-grams across a border count for the slice they start in. Landmarks are a bounded sample of the labelled texts; the Nystroem map of the
 kernel on them feeds one ridge regression for each language against the rest. N-grams are addressed by hash, so a
 block of texts is a 0/1 matrix, and kernel and regression come down to matrix products: landmark products,
 Nystroem map and ridge weights are folded into one matrix of n-grams by languages, and a text's scores are its row
@@ -10,7 +12,7 @@ times that matrix, over the root of its number of n-grams.
 
 The model is fitted on at most ``PER_LANGUAGE`` labelled documents of each language (those with the lowest hashes of
 their ids, so the choice does not depend on order or partitions), which is the documented bound of what the driver
-holds. Predictions read the text alone.
+holds. Predictions read the whole text, and nothing else.
 
 Defined cases: null texts and texts without a letter get ``und`` and score 0, as do all texts when nothing was
 learned; ties go to the first language in order; a null id is never learned from; repeated rows are predicted
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ LANDMARKS = 256
 MAX_LANGUAGES = 100
 LENGTHS = (1, 2, 3, 4, 5)
 SLOTS = 1 << 16
+#: Bytes of a text whose n-grams are one set.
+SLICE = 10_000
 RIDGE = 1e-2
 ADDED = "lang_pred string, score double"
 
@@ -56,19 +61,38 @@ class Model:
     weights: np.ndarray  # (SLOTS, languages)
 
 
-def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """The n-gram slots present in each row, ascending."""
+def sliced_grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, n-gram slots present, ascending) of each slice of each row; an empty row has one slice."""
     folded = _FOLD[data]
-    for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        yield _present(folded[lo:hi])
+    for row, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+        body = _body(folded[lo:hi])
+        parts = max(1, -(-len(body) // SLICE))
+        for k in range(parts):
+            end = len(body) * (k + 1) // parts
+            yield row, _slots(body[len(body) * k // parts : end + (LENGTHS[-1] - 1 if end < len(body) else 0)])
+
+
+def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """The n-gram slots present in each slice of each row, ascending."""
+    return (slots for _, slots in sliced_grams(data, offsets))
 
 
 def _present(text: np.ndarray) -> np.ndarray:
+    return _slots(_body(text))
+
+
+def _body(text: np.ndarray) -> np.ndarray:
     if not len(text):
-        return np.zeros(0, np.int64)
+        return text
     keep = np.ones(len(text), bool)
     keep[1:] = (text[1:] != 0x20) | (text[:-1] != 0x20)  # a run of spaces is one
-    body = np.concatenate([[0x20], text[keep], [0x20]]).astype(np.uint64)
+    return np.concatenate([[0x20], text[keep], [0x20]]).astype(np.uint8)
+
+
+def _slots(body: np.ndarray) -> np.ndarray:
+    if not len(body):
+        return np.zeros(0, np.int64)
+    body = body.astype(np.uint64)
     seen = np.zeros(SLOTS, bool)
     acc = body.copy()
     for length in LENGTHS:
@@ -81,39 +105,43 @@ def _present(text: np.ndarray) -> np.ndarray:
     return np.flatnonzero(seen)
 
 
-def _matrix(rows: list[np.ndarray]) -> np.ndarray:
-    out = np.zeros((len(rows), SLOTS), np.float32)
-    for k, r in enumerate(rows):
-        out[k, r] = 1
-    return out
+def text_rows(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """Each row as a vector of SLOTS: the mean of its slices' 0/1 vectors, each over the root of its number of n-grams."""
+    last, count, out = 0, 0, np.zeros(SLOTS, np.float32)
+    for row, slots in sliced_grams(data, offsets):
+        if row != last:
+            yield out / count
+            last, count, out = row, 0, np.zeros(SLOTS, np.float32)
+        count += 1
+        if len(slots):
+            out[slots] += np.float32(1 / np.sqrt(len(slots)))
+    if count:
+        yield out / count
 
 
 def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """The first texts of each language, ``landmarks`` in all, span the Nystroem space; all texts train."""
     languages = sorted(set(labels))
     data, offsets = text_buffers(pa.array(texts, pa.string()))
-    present = list(grams(data, offsets))
-    use = [k for k, p in enumerate(present) if len(p)]
-    present, labels = [present[k] for k in use], [labels[k] for k in use]
-    if len(languages) < 1 or not present:
+    use = np.flatnonzero(np.diff(offsets)).tolist()
+    labels = [labels[k] for k in use]
+    if len(languages) < 1 or not use:
         return Model([], np.zeros((SLOTS, 0)))
     chosen: list[int] = []
     taken = dict.fromkeys(languages, 0)
     for k, label in enumerate(labels):
         if taken[label] < max(2, landmarks // len(languages)):
             taken[label] += 1
-            chosen.append(k)
-    base = _matrix([present[k] for k in chosen])
-    base /= np.sqrt(np.array([len(present[k]) for k in chosen], np.float32))[:, None]
+            chosen.append(use[k])
+    base = np.stack([next(text_rows(data[offsets[k] : offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))) for k in chosen])
     between = (base @ base.T).astype(np.float64)
     values, vectors = np.linalg.eigh(between)
     good = values > 1e-6 * values.max()
     lift = vectors[:, good] / np.sqrt(values[good])  # K_mm ** -1/2 on its range
-    features = np.zeros((len(present), int(good.sum())))
-    for lo in range(0, len(present), 128):
-        part = _matrix(present[lo : lo + 128]) @ base.T
-        size = np.sqrt(np.array([len(p) for p in present[lo : lo + 128]]))
-        features[lo : lo + 128] = (part / size[:, None]) @ lift
+    rows = (r for r, size in zip(text_rows(data, offsets), np.diff(offsets), strict=True) if size)
+    features = np.zeros((len(use), int(good.sum())))
+    for lo in range(0, len(use), 128):
+        features[lo : lo + 128] = (np.stack(list(islice(rows, 128))) @ base.T) @ lift
     target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     # Every language weighs the same, however many texts it has.
     weight = np.array([1.0 / labels.count(label) for label in languages])[np.searchsorted(languages, labels)]
@@ -132,17 +160,19 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def score(data: np.ndarray, offsets: np.ndarray, model: Model, block: int = 64) -> np.ndarray:
-    """One-versus-rest outputs, a block of texts at a time."""
-    present = list(grams(data, offsets))
-    out = np.zeros((len(present), len(model.languages)))
-    for lo in range(0, len(present), block):
-        part = present[lo : lo + block]
-        size = np.sqrt(np.maximum([len(p) for p in part], 1))
-        slots, inverse = np.unique(np.concatenate(part), return_inverse=True)
+    """One-versus-rest outputs: the mean over a text's slices, a block of slices at a time."""
+    out = np.zeros((len(offsets) - 1, len(model.languages)))
+    count = np.zeros(len(out))
+    found = sliced_grams(data, offsets)
+    while part := list(islice(found, block)):
+        at, present = np.array([row for row, _ in part]), [slots for _, slots in part]
+        size = np.sqrt(np.maximum([len(p) for p in present], 1))
+        slots, inverse = np.unique(np.concatenate(present), return_inverse=True)
         rows = np.zeros((len(part), len(slots)))
-        rows[np.repeat(np.arange(len(part)), [len(p) for p in part]), inverse] = 1
-        out[lo : lo + block] = rows @ model.weights[slots] / size[:, None]
-    return out
+        rows[np.repeat(np.arange(len(part)), [len(p) for p in present]), inverse] = 1
+        np.add.at(out, at, rows @ model.weights[slots] / size[:, None])
+        np.add.at(count, at, 1)
+    return out / np.maximum(count, 1)[:, None]
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:

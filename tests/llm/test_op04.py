@@ -48,3 +48,37 @@ def test_nothing_to_learn(llm):
     docs = llm.createDataFrame([(1, "text", None, 1)], SCHEMA)
     assert op.language_query(docs).collect()[0]["lang_pred"] == "und"
     assert op.language_query(llm.createDataFrame([], SCHEMA)).collect() == []
+
+
+def varied(lang, size, seed):
+    """Text of about ``size`` bytes whose words hardly repeat: syllables of ``lang`` between random letters."""
+    rng = random.Random(seed)
+    words = []
+    while size > 0:
+        word = "".join(rng.choice(MIXED[lang]) if rng.random() < 0.5 else chr(rng.randint(97, 122)) for _ in range(rng.randint(2, 7)))
+        words.append(word)
+        size -= len(word.encode()) + 1
+    return " ".join(words)
+
+
+MIXED = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["schr", "ung", "tz", "ein"], "cc": ["qua", "ous", "ize", "ght"], "dd": ["eau", "oix", "que", "ais"]}
+
+
+def test_long_varied_texts_are_told_apart():
+    """Every language's row of a whole text of some MB is nearly full; the slices' rows are not."""
+    data = [(varied(lang, 2_500, 100 * k + j), lang) for j in range(30) for k, lang in enumerate(MIXED)]
+    model = op.fit([t for t, _ in data], [lang for _, lang in data], landmarks=60)
+    for size in (10_000, 1_000_000, 4_000_000):
+        texts = [varied(lang, size, 7 + k) for k, lang in enumerate(MIXED)]
+        outputs = op.score(*op.text_buffers(op.pa.array(texts)), model)
+        assert [model.languages[b] for b in outputs.argmax(axis=1)] == list(MIXED), size
+    # Half of a text in one language and the end in another: what comes last counts as well.
+    mixed = varied("aa", 300_000, 1) + " " + varied("bb", 900_000, 2)
+    assert model.languages[op.score(*op.text_buffers(op.pa.array([mixed])), model)[0].argmax()] == "bb"
+
+
+def test_slices_hold_every_gram():
+    text = np.frombuffer(varied("aa", 35_000, 5).encode(), np.uint8)
+    whole = op._present(op._FOLD[text])
+    parts = list(op.grams(text, np.array([0, len(text)])))
+    assert len(parts) == 4 and np.array_equal(np.unique(np.concatenate(parts)), whole)
