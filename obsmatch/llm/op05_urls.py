@@ -4,12 +4,12 @@ A URL's host is what stands after its first ``://`` up to ``/``, ``?``, ``#`` or
 ``?``, ``#`` or the end. A rule (host, path) fits its host and all subdomains if the path starts with the rule's;
 the longest rule that fits decides.
 
-The tree has the path's segments as levels. Level by level and host by host,
+The tree has the path's segments as levels, down to the deepest. Level by level and host by host,
 1. a segment that looks like a value (a number, a date, a long hexadecimal or mixed token) becomes a typed wildcard;
-2. where a node has more than ``MAX_CHILDREN`` kinds of segments, those with less than ``MIN_SHARE`` of its rows become ``*``;
-3. of the other branches, those whose labelled purity does not differ from their siblings' (two proportions, ``Z``)
-   merge into ``*`` as well.
-The template of a URL is its path of generalised segments. Its purity is the good share of its labelled pages,
+2. branches without labels, and those whose labelled purity does not differ from their siblings' (two proportions, ``Z``),
+   merge into ``*``; neither their size nor their number merges them.
+The template of a URL is its path of generalised segments; those below ``LEVELS`` are written ``#`` by ``#`` behind the
+last ``/`` (no path has a ``#``). Its purity is the good share of its labelled pages,
 smoothed towards its host's, which is smoothed towards the corpus's; a template below ``MIN_PURITY`` is blocked.
 
 Everything is counted over distinct (host, path shape) rows with their numbers of pages, so a host with a third of
@@ -23,6 +23,7 @@ is; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +32,8 @@ from obsmatch.llm.common import materialize
 
 #: (host, path, verdict)
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-#: Levels of the tree; what is deeper joins the last one's ``**``.
+#: Levels that a template writes with ``/``; below them all rows of a node go on to where they part in one step.
 LEVELS = 6
-MAX_CHILDREN = 16
-MIN_SHARE = 0.05
 Z = 1.96
 #: Pages that a prior weighs as much as.
 PRIOR = 5.0
@@ -74,37 +73,56 @@ def shape(path: Column) -> Column:
             .otherwise(s)
         )
 
-    typed = F.transform(parts, kind)
-    deep = F.concat(F.slice(typed, 1, LEVELS), F.array(F.lit("**")))
-    return F.when(F.size(typed) > LEVELS, deep).otherwise(typed)
+    return F.transform(parts, kind)
+
+
+def _skip(rows: DataFrame) -> DataFrame:
+    """``rows`` with the segments that all unfinished rows of a node share moved from ``rest`` to ``template``."""
+    node = rows.groupBy("host", "template").agg(F.min("rest").alias("lo"), F.max("rest").alias("hi"))
+    parts = F.array_position(F.transform(F.arrays_zip("lo", "hi"), lambda z: z["lo"].eqNullSafe(z["hi"])), False)
+    shared = node.select("host", "template", F.when(parts > 0, parts - 1).otherwise(F.size("lo")).cast("int").alias("shared"))
+    first = F.transform(F.slice("rest", 1, F.col("shared")), lambda s: F.concat(F.lit("#"), s))
+    more = F.slice("rest", F.col("shared") + 1, F.size("rest"))
+    return rows.join(shared, ["host", "template"]).withColumn("template", F.concat("template", F.array_join(first, ""))).withColumn("rest", more).drop("shared")
 
 
 def templates(shapes: DataFrame) -> DataFrame:
     """``shapes`` (host, shape, n, labelled, good) with ``template``."""
-    rows = materialize(shapes.withColumn("template", F.lit("")), "shapes")
-    for level in range(1, LEVELS + 2):
-        here = rows.withColumn("child", F.when(F.size("shape") >= level, F.element_at("shape", level)))
-        if here.where("child is not null").isEmpty():
+    columns = ["host", "shape", "n", "labelled", "good", "template"]
+    rows = materialize(shapes.withColumn("template", F.lit("")).withColumn("rest", F.col("shape")), "shapes")
+    finished: list[DataFrame] = []
+    level = 0
+    while True:
+        finished.append(rows.where(F.size("rest") == 0).select(*columns))
+        here = rows.where(F.size("rest") > 0)
+        if here.isEmpty():
             break
-        sums = [F.sum(c).alias(c) for c in ("n", "labelled", "good")]
-        child = here.where("child is not null").groupBy("host", "template", "child").agg(*sums)
-        node = child.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "good")])
+        level += 1
+        if level == LEVELS + 1:
+            here = here.withColumn("template", F.concat("template", F.lit("/")))
+        if level > LEVELS:
+            here = materialize(_skip(here), "skipped")
+            finished.append(here.where(F.size("rest") == 0).select(*columns))
+            here = here.where(F.size("rest") > 0)
+        here = here.withColumn("child", F.element_at("rest", 1))
+        sums = [F.sum(c).alias(c) for c in ("labelled", "good")]
+        child = here.groupBy("host", "template", "child").agg(*sums)
+        node = child.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), *[F.sum(c).alias(f"all_{c}") for c in ("labelled", "good")])
         child = child.join(node, ["host", "template"])
-        rare = (F.col("kinds") > MAX_CHILDREN) & (F.col("n") < MIN_SHARE * F.col("all_n"))
         others, others_good = F.col("all_labelled") - F.col("labelled"), F.col("all_good") - F.col("good")
         rate = F.col("all_good") / F.col("all_labelled")
         spread = F.sqrt(rate * (1 - rate) * (1 / F.col("labelled") + 1 / others))
         apart = F.abs(F.col("good") / F.col("labelled") - others_good / others)
         # Without labels on either side there is nothing that tells the branches apart.
         alike = F.when((F.col("labelled") > 0) & (others > 0), apart <= Z * spread).otherwise(F.lit(True))
-        merged = F.when((F.col("kinds") > 1) & (rare | alike), "*").otherwise(F.col("child"))
+        merged = F.when((F.col("kinds") > 1) & alike, "*").otherwise(F.col("child"))
         names = child.select("host", "template", "child", merged.alias("branch"))
         names = names.toDF("host_", "template_", "child_", "branch")
         same = (F.col("host") == F.col("host_")) & (F.col("template") == F.col("template_")) & (F.col("child") == F.col("child_"))
-        step = here.join(names, same, "left")
-        longer = F.when(F.col("branch").isNotNull(), F.concat("template", F.lit("/"), "branch")).otherwise(F.col("template"))
-        rows = materialize(step.select("host", "shape", "n", "labelled", "good", longer.alias("template")), "templates")
-    return rows
+        longer = F.concat("template", F.lit("/" if level <= LEVELS else "#"), "branch").alias("template")
+        step = here.join(names, same).select(*columns[:-1], longer, F.slice("rest", 2, F.size("rest")).alias("rest"))
+        rows = materialize(step, "templates")
+    return reduce(DataFrame.unionByName, finished)
 
 
 def verdicts(rows: DataFrame) -> DataFrame:

@@ -45,3 +45,27 @@ def test_wildcards_and_depth(llm):
     assert got[0]["template"] and got[1]["template"].count("/") == op.LEVELS + 1 and len(got) == 3
     pages = llm.createDataFrame([], PAGES)
     assert op.filter_urls(pages, llm.createDataFrame([], LABELS)).collect() == []
+
+
+def test_a_small_section_keeps_its_verdict_whatever_the_number_of_its_siblings(llm):
+    """A section of 4 % that is all bad in a good host, or all good in a bad one, with 16 and with 19 siblings."""
+    urls, labels = [], []
+    for host, rest in (("good", 1), ("bad", 0)):
+        for siblings in (15, 19):
+            for j in range(500):
+                odd = j % 25 == 0
+                urls.append(f"http://{host}{siblings}.net/{'odd' if odd else f'part{chr(97 + j % siblings)}'}/p{chr(97 + j % 7)}.html")
+                labels.append((len(urls) - 1, 1 - rest if odd else rest, 0))
+    got = judge(llm, urls, labels)
+    for k, quality, _ in labels:
+        assert got[k]["verdict"] == ("allow" if quality else "block"), (urls[k], got[k])
+
+
+def test_deep_paths_are_told_apart(llm):
+    top = "/".join("abcdefgh")
+    urls = [f"http://d.net/{top}/{'spam' if k % 2 else 'news'}/x/{k}" for k in range(60)]
+    urls += ["http://e.net/" + "/".join(["s"] * 3_000), f"http://d.net/{top}", "http://e.net/" + "/".join(["s"] * 3_000 + ["t"])]
+    got = judge(llm, urls, [(k, 1 - k % 2, 0) for k in range(60)])
+    assert {got[k]["verdict"] for k in range(0, 60, 2)} == {"allow"} and {got[k]["verdict"] for k in range(1, 60, 2)} == {"block"}
+    assert len(got) == 63 and got[60]["template"] != got[62]["template"] != got[61]["template"]
+    assert got[0]["template"].startswith("/a/b/c/d/e/f/#g#h#news#x#")
