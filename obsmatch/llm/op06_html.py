@@ -1,12 +1,13 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree of elements with its text in blocks (runs of text between block-level tags). Elements that are
-page furniture by tag, role or a class or id word are set aside, unless they hold the article. Each block of some length
+page furniture by tag are set aside; so are those that are it by role or a class or id word, unless they hold the article
+or their text, discounted, is still more than all that stands around them. Each block of some length
 passes points, for its length and commas and discounted by its share of link text, to the element around it, and half,
 a third, ... of them to the ancestors above. The element with the most points, discounted by its own link
-density, is the container; an article or main element around it takes its place. Without one, siblings with a fair
-share of its points, and headings and paragraphs beside it, are kept with it. All blocks of what is kept are given, in
-page order; lists and tables made of links are not.
+density, is the container; an article or main element around it takes its place. Siblings with a fair share of its
+points, other articles, and headings and paragraphs beside it are kept with it. All blocks of what is kept are given, in
+page order; lists and tables made of links beside the container are not, nor those of bare short links (menus) inside it.
 
 Defined cases: null and empty html give empty text; a page without scored blocks gives what text its body has outside
 furniture; text cut off inside a tag ends there; elements left open end with their parents; nesting of any depth is
@@ -52,6 +53,8 @@ NAMES = frozenset(
     " signup login comment comments disqus respond replies discussion related recommended share sharing social pagination pager widget toolbar"
     " disclaimer".split()
 )
+#: Words that make a class or id tell what an element has, not what it is.
+STATES = frozenset("has with without no".split())
 #: Elements that a start tag closes when they are open.
 _CLOSES = {t: frozenset({"p"}) for t in BLOCK - {"body", "html", "tr", "td", "th", "tbody", "thead", "tfoot", "caption"}}
 _CLOSES |= {
@@ -65,6 +68,10 @@ _WALLS = frozenset({"article", "section", "div", "main", "td", "th", "table", "b
 LEAST_CHARS = 25
 LEVELS = 5
 SIBLING_SHARE = 0.2
+#: What text in an element of a furniture name weighs, on a page without and with an article.
+NAMED = (0.2, 0.05)
+#: Characters between two links of a menu.
+BETWEEN_LINKS = 3
 
 
 class Page:
@@ -81,7 +88,7 @@ class Page:
             for m in _ATTR.finditer(attrs):
                 name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
                 if name in ("class", "id"):
-                    soft = soft or not NAMES.isdisjoint(_WORD.findall(value))
+                    soft = soft or any(not NAMES.isdisjoint(words) and STATES.isdisjoint(words) for words in map(_WORD.findall, value.split()))
                 elif name == "role":
                     soft = soft or value in ROLES
                 elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
@@ -170,13 +177,33 @@ def main_text(source: str | None) -> str:
     holds = [page.tag[k] in ("article", "main") and not page.soft[k] and not page.hard[k] for k in range(n)]
     for k in range(n - 1, 0, -1):
         holds[page.parent[k]] = holds[page.parent[k]] or holds[k]
-    out = [False] * n
     in_article = [False] * n
+    named = [False] * n
+    around = [0] * n  # the named element around each one, or the page
     for k in range(1, n):
         p = page.parent[k]
         in_article[k] = in_article[p] or page.tag[p] in ("article", "main")
         header = page.tag[k] == "header" and not in_article[k]
-        out[k] = out[p] or page.hard[k] or (page.soft[k] or header) and not holds[k]
+        named[k] = (page.soft[k] or header) and not holds[k]
+        around[k] = p if named[p] else around[p]
+    # Text outside links, of each element without its named ones, and with these discounted.
+    plain, weighed, heaviest = [0] * n, [0.0] * n, [0.0] * n
+    for at, text, linked, _ in page.blocks:
+        plain[at] += len(text) - linked
+        weighed[at] += len(text) - linked
+    article = any(holds[k] and plain[k] for k in range(n))
+    for k in range(n - 1, 0, -1):
+        if named[k]:
+            weighed[k] *= NAMED[article]
+            heaviest[around[k]] = max(heaviest[around[k]], weighed[k])
+        else:
+            plain[page.parent[k]] += plain[k]
+        weighed[page.parent[k]] += weighed[k]
+    out = [False] * n
+    for k in range(1, n):
+        c = around[k]
+        furniture = named[k] and not (weighed[k] > plain[c] and weighed[k] >= SIBLING_SHARE * heaviest[c])
+        out[k] = out[page.parent[k]] or page.hard[k] or furniture
     text_of, link_of, links_in = [0] * n, [0] * n, [0] * n
     points = [0.0] * n
     live = [b for b in page.blocks if not out[b[0]]]
@@ -211,20 +238,27 @@ def main_text(source: str | None) -> str:
         if up > 0:
             best = up
             break
-    kept = [False] * n
-    kept[best] = True
-    if best > 0 and page.tag[best] not in ("article", "main", "body"):
-        for k in range(best + 1 if page.parent[best] < 0 else page.parent[best] + 1, n):
-            if page.parent[k] != page.parent[best] or not text_of[k]:
+    kept, inside = [False] * n, [False] * n
+    kept[best] = inside[best] = True
+    beside = best
+    if page.tag[best] in ("article", "main"):
+        while page.parent[beside] > 0 and text_of[page.parent[beside]] == text_of[beside]:
+            beside = page.parent[beside]  # a wrapper of nothing else
+    if beside > 0 and page.tag[beside] != "body":
+        for k in range(page.parent[beside] + 1, n):
+            if page.parent[k] != page.parent[beside] or not text_of[k]:
                 continue
             loose = 1 - link_of[k] / text_of[k]
-            kept[k] = kept[k] or points[k] * loose >= SIBLING_SHARE * most or page.tag[k] in HEADINGS or page.tag[k] in ("p", "pre", "blockquote") and loose > 0.5
+            kept[k] = kept[k] or points[k] * loose >= SIBLING_SHARE * most or page.tag[k] in HEADINGS or (page.tag[k] in ("p", "pre", "blockquote") or holds[k]) and loose > 0.5
     listed = [False] * n
     for k in range(1, n):
         p = page.parent[k]
         kept[k] = kept[k] or kept[p]
-        made_of_links = page.tag[k] in ("ul", "ol", "dl", "table", "div") and links_in[k] >= 3 and link_of[k] > 0.6 * text_of[k]
-        listed[k] = listed[p] or made_of_links
+        inside[k] = inside[k] or inside[p]
+        listed[k] = listed[p]
+        if page.tag[k] in ("ul", "ol", "dl", "table", "div") and links_in[k] >= 3 and link_of[k] > 0.6 * text_of[k]:
+            menu = text_of[k] - link_of[k] <= BETWEEN_LINKS * links_in[k] and link_of[k] < LEAST_CHARS * links_in[k]
+            listed[k] = listed[k] or menu or not inside[k]
     return "\n\n".join(text for at, text, _, _ in live if kept[at] and not listed[at])
 
 

@@ -48,3 +48,34 @@ def test_table(llm):
     got = sorted(extract(pages).collect(), key=lambda r: -r["n_chars"])
     assert [tuple(r) for r in got] == [(1, "u", TEXT, len(TEXT))] * 2 + [(None, None, "", 0)]
     assert extract(pages.limit(0)).collect() == []
+
+
+LONG = " ".join(f"Sentence {k} of the text, with a comma, is long enough." for k in range(12))
+
+
+@pytest.mark.parametrize("name", ["site has-sidebar", "layout-sidebar", "widget", "page banner-top"])
+def test_a_furniture_word_on_the_wrapper_of_the_text_does_not_lose_it(name):
+    side = "<div class=sidebar><p>Other things, to read, today, and more.</p></div>"
+    page = f"<div class='{name}'><div class='content'><p>{LONG}</p><p>{LONG}</p></div>{side}</div><p>Copyright</p>"
+    assert LONG + "\n\n" + LONG in main_text(page) and "Other things" not in main_text(page)
+    assert main_text(f"<div class='{name}'><p>{LONG}</p></div><div class='{name}'><p>{LONG} Two.</p></div><p>Copyright</p>").startswith(f"{LONG}\n\n{LONG} Two.")
+    # Readers' comments that are longer than the text stay out.
+    assert main_text(f"<div><p>{LONG}</p></div><ol id=comments><li>{LONG} {LONG} {LONG}</li></ol>") == LONG
+
+
+@pytest.mark.parametrize("wrap", ["{}", "<div><div>{}</div></div>"])
+def test_all_articles_beside_each_other_are_kept(wrap):
+    one, two = f"<article><h2>One</h2><p>{LONG}</p><p>{LONG}</p></article>", "<article><p>Part two is short, but it is text.</p></article>"
+    for box in ("main", "body", "div"):
+        for order in ((one, two), (two, one)):
+            got = main_text(f"<{box}>" + "".join(map(wrap.format, order)) + f"</{box}>{AFTER}")
+            assert got.count(LONG) == 2 and "One" in got and "Part two is short, but it is text." in got and "reader" not in got
+
+
+def test_lists_with_links_inside_the_article_are_text():
+    items = ["First work, by a writer, on things", "Second work, by others, on more things", "Third work, of an unknown hand"]
+    linked = "".join(f"<li><a href=/{k}>{x}</a></li>" for k, x in enumerate(items))
+    short = "".join(f"<tr><td><a href=/{k}>Town number {k}</a></td><td>{k}00 people</td></tr>" for k in range(4))
+    for box in ("article", "div"):
+        got = main_text(f"<{box}><p>{LONG}</p><p>{LONG}</p><ul>{linked}</ul><table>{short}</table></{box}>")
+        assert all(x in got for x in items) and "Town number 3" in got and "300 people" in got
