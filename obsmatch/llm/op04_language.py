@@ -10,9 +10,11 @@ block of texts is a 0/1 matrix, and kernel and regression come down to matrix pr
 Nystroem map and ridge weights are folded into one matrix of n-grams by languages, and a text's scores are its row
 times that matrix, over the root of its number of n-grams.
 
-The model is fitted on at most ``PER_LANGUAGE`` labelled documents of each language (those with the lowest hashes of
-their ids, so the choice does not depend on order or partitions), which is the documented bound of what the driver
-holds. Predictions read the whole text, and nothing else.
+Every language of the labelled documents is learned, from at most ``PER_LANGUAGE`` of its ids (those with the lowest
+hashes, so the choice does not depend on order or partitions; of an id with several texts, the text with the lowest
+hash) and no more of them once they have ``LANGUAGE_BYTES``. Landmarks' rows and the sums of the regression are made by
+Spark; the driver holds 65,536 numbers for each landmark (256, or two of each language) and for each language, and no
+text. Predictions read the whole text, and nothing else.
 
 Defined cases: null texts and texts without a letter get ``und`` and score 0, as do all texts when nothing was
 learned; ties go to the first language in order; a null id is never learned from; repeated rows are predicted
@@ -31,15 +33,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from obsmatch.llm.common import slices, string_column, text_buffers, with_arrow_columns
+from obsmatch.llm.common import materialize, slices, string_column, text_buffers, with_arrow_columns
 
 UNDETERMINED = "und"
 #: Bound of the sample: labelled documents of a language.
 PER_LANGUAGE = 400
-#: Landmarks in all, shared evenly by the languages.
+#: A language's sample takes no further document once it has this many bytes.
+LANGUAGE_BYTES = 16 << 20
+#: Landmarks in all, shared evenly by the languages, two of each at least.
 LANDMARKS = 256
-#: Languages that can be learned (those with the most labelled documents).
-MAX_LANGUAGES = 100
+#: Tasks that sum up the regression; each sends its sums to the driver.
+SUM_TASKS = 16
 LENGTHS = (1, 2, 3, 4, 5)
 SLOTS = 1 << 16
 #: Bytes of a text whose n-grams are one set.
@@ -121,33 +125,49 @@ def text_rows(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
 
 def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """The first texts of each language, ``landmarks`` in all, span the Nystroem space; all texts train."""
-    languages = sorted(set(labels))
     data, offsets = text_buffers(pa.array(texts, pa.string()))
     use = np.flatnonzero(np.diff(offsets)).tolist()
-    labels = [labels[k] for k in use]
-    if len(languages) < 1 or not use:
+    languages = sorted({labels[k] for k in use})
+    if not languages:
         return Model([], np.zeros((SLOTS, 0)))
-    chosen: list[int] = []
-    taken = dict.fromkeys(languages, 0)
-    for k, label in enumerate(labels):
-        if taken[label] < max(2, landmarks // len(languages)):
-            taken[label] += 1
-            chosen.append(use[k])
-    base = np.stack([next(text_rows(data[offsets[k] : offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))) for k in chosen])
-    between = (base @ base.T).astype(np.float64)
-    values, vectors = np.linalg.eigh(between)
-    good = values > 1e-6 * values.max()
-    lift = vectors[:, good] / np.sqrt(values[good])  # K_mm ** -1/2 on its range
+    codes = np.searchsorted(languages, [labels[k] for k in use])
+    chosen = sorted(k for c in range(len(languages)) for k in np.flatnonzero(codes == c)[: _landmarks_each(len(languages), landmarks)])
     rows = (r for r, size in zip(text_rows(data, offsets), np.diff(offsets), strict=True) if size)
-    features = np.zeros((len(use), int(good.sum())))
-    for lo in range(0, len(use), 128):
-        features[lo : lo + 128] = (np.stack(list(islice(rows, 128))) @ base.T) @ lift
-    target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    # Every language weighs the same, however many texts it has.
-    weight = np.array([1.0 / labels.count(label) for label in languages])[np.searchsorted(languages, labels)]
-    gram = (features * weight[:, None]).T @ features
-    alpha = np.linalg.solve(gram + ridge * np.eye(len(gram)) * np.trace(gram) / len(gram), features.T @ (target * weight[:, None]))
-    return Model(languages, base.T.astype(np.float64) @ (lift @ alpha))
+    base = np.stack([next(text_rows(data[offsets[k] : offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))) for k in (use[j] for j in chosen)])
+    lift = _lift(base)
+    gram, sums = np.zeros((lift.shape[1],) * 2), np.zeros((len(languages), lift.shape[1]))
+    _add_sums(rows, codes, 1 / np.bincount(codes), base, lift, gram, sums)
+    return _solve(languages, base, lift, gram, sums, ridge)
+
+
+def _landmarks_each(languages: int, landmarks: int = LANDMARKS) -> int:
+    return max(2, landmarks // languages)
+
+
+def _lift(base: np.ndarray) -> np.ndarray:
+    values, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
+    good = values > 1e-6 * values.max()
+    return vectors[:, good] / np.sqrt(values[good])  # K_mm ** -1/2 on its range
+
+
+def _add_sums(rows: Iterator[np.ndarray], codes: np.ndarray, weight: np.ndarray, base: np.ndarray, lift: np.ndarray, gram: np.ndarray, sums: np.ndarray, block: int = 64) -> None:
+    """Adds the texts' weighted feature products to ``gram``, and their weighted features to their language's row of ``sums``."""
+    for lo in range(0, len(codes), block):
+        part = codes[lo : lo + block]
+        features = (np.stack(list(islice(rows, len(part)))) @ base.T) @ lift
+        weighted = features * weight[part][:, None]
+        gram += weighted.T @ features
+        np.add.at(sums, part, weighted)
+
+
+def _solve(languages: list[str], base: np.ndarray, lift: np.ndarray, gram: np.ndarray, sums: np.ndarray, ridge: float = RIDGE) -> Model:
+    """Every language weighs the same, however many texts it has; its texts' target is 1, that of all others -1."""
+    target = 2 * sums.T - sums.sum(axis=0)[:, None]
+    folded = lift @ np.linalg.solve(gram + ridge * np.eye(len(gram)) * np.trace(gram) / len(gram), target)
+    weights = np.empty((SLOTS, len(languages)))
+    for lo in range(0, SLOTS, 4096):
+        weights[lo : lo + 4096] = base[:, lo : lo + 4096].T.astype(np.float64) @ folded
+    return Model(languages, weights)
 
 
 def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -205,14 +225,64 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """The model of the labelled documents that are not held out."""
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     usable = rows.where(F.col("id").isNotNull() & ~held_out("id") & F.col("lang").isNotNull() & (F.col("lang") != UNDETERMINED) & (F.length("text") > 0))
-    known = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    languages = [r["lang"] for r in known.collect()]
+    mark = F.struct(F.xxhash64("text").alias("mark"), F.octet_length("text").alias("size"))
+    ids = usable.groupBy("lang", "id").agg(F.min(mark).alias("one")).select("lang", "id", "one.*")
     # Spark keeps the first of each language in every task before it shuffles ids (a group limit below the window).
     first = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = usable.where(F.col("lang").isin(languages)).select("id", "lang").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
-    ids = [r["id"] for r in chosen.select("id").collect()]  # at most MAX_LANGUAGES * per_language
-    sample = usable.where(F.col("id").isin(ids)).dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").select("text", "lang").collect() if ids else []
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    chosen = ids.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
+    before = F.sum("size").over(W.partitionBy("lang").orderBy("k").rowsBetween(W.unboundedPreceding, -1))
+    chosen = chosen.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < LANGUAGE_BYTES)
+    chosen = materialize(chosen.select(F.col("lang").alias("lang_"), F.col("id").alias("id_"), F.col("mark").alias("mark_"), "k"), "chosen")
+    counts = {r["lang_"]: r["n"] for r in chosen.groupBy("lang_").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return Model([], np.zeros((SLOTS, 0)))
+    # At most ``per_language`` rows of a language, without texts.
+    same = (F.col("lang") == F.col("lang_")) & (F.col("id") == F.col("id_")) & (F.xxhash64("text") == F.col("mark_"))
+    sample = materialize(usable.join(F.broadcast(chosen), same).dropDuplicates(["lang_", "id_"]).select("lang", "k", "text"), "sample")
+    return _fit_sample(sample, counts)
+
+
+def _fit_sample(sample: DataFrame, counts: dict[str, int]) -> Model:
+    """The model of ``sample`` (lang, k from 1 in each language, text), whose rows are read and summed by tasks."""
+    languages = sorted(counts)
+    weight = np.array([1.0 / counts[c] for c in languages])
+    code = {c: j for j, c in enumerate(languages)}
+
+    def landmark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(np.flatnonzero(r), r) for r in text_rows(*text_buffers(batch.column(2)))]
+            parts = [pa.array([f.tobytes() for f in found], pa.binary()) for found in ([at.astype(np.int32) for at, _ in rows], [r[at] for at, r in rows])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *parts], names=["lang", "k", "at", "value"])
+
+    few = sample.where(F.col("k") <= _landmarks_each(len(languages))).mapInArrow(landmark, "lang string, k int, at binary, value binary")
+    spanning = [(np.frombuffer(r["at"], np.int32), np.frombuffer(r["value"], np.float32)) for r in sorted(few.collect(), key=lambda r: (r["lang"], r["k"]))]
+
+    def dense() -> np.ndarray:
+        out = np.zeros((len(spanning), SLOTS), np.float32)
+        for k, (at, value) in enumerate(spanning):
+            out[k, at] = value
+        return out
+
+    base = dense()
+    lift = _lift(base)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, seen = None, False
+        gram, sums = np.zeros((lift.shape[1],) * 2), np.zeros((len(languages), lift.shape[1]))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            here, seen = dense() if here is None else here, True
+            codes = np.array([code[c] for c in batch.column(0).to_pylist()])
+            _add_sums(text_rows(*text_buffers(batch.column(2))), codes, weight, here, lift, gram, sums)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()], pa.binary()), pa.array([sums.tobytes()], pa.binary())], names=["gram", "sums"])
+
+    gram, sums = np.zeros((lift.shape[1],) * 2), np.zeros((len(languages), lift.shape[1]))
+    for r in sample.repartition(SUM_TASKS).mapInArrow(add, "gram binary, sums binary").collect():
+        gram += np.frombuffer(r["gram"]).reshape(gram.shape)
+        sums += np.frombuffer(r["sums"]).reshape(sums.shape)
+    return _solve(languages, base, lift, gram, sums)
 
 
 def language_query(docs: DataFrame) -> DataFrame:

@@ -82,3 +82,31 @@ def test_slices_hold_every_gram():
     whole = op._present(op._FOLD[text])
     parts = list(op.grams(text, np.array([0, len(text)])))
     assert len(parts) == 4 and np.array_equal(np.unique(np.concatenate(parts)), whole)
+
+
+def test_every_label_is_learned(llm):
+    """120 languages with syllables of their own, the rarest last."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    data = []
+    for c in range(120):
+        sounds = ["".join(rng.choice(letters) for _ in range(4)) for _ in range(5)]
+        for j in range(12 if c < 100 else 9):
+            data.append((len(data), " ".join(rng.choice(sounds) for _ in range(30)), f"l{c:03}", 1))
+    docs = llm.createDataFrame(data, SCHEMA)
+    model = op.learn(docs)
+    assert len(model.languages) == 120
+    got = {r["doc_id"]: r["lang_pred"] for r in op.identify(docs, model).collect()}
+    assert all(got[k] == lang for k, _, lang, _ in data)
+
+
+def test_spark_sums_are_those_of_one_fit_and_repeated_ids_count_once(llm, monkeypatch):
+    data = corpus(60)
+    ids = [k for k, _, lang, _ in data if lang == "aa"]
+    docs = llm.createDataFrame([*data, *[data[ids[j]] for j in range(len(ids)) for _ in range(50)]], SCHEMA).repartition(5)
+    used = llm.createDataFrame(data, SCHEMA).where(~op.held_out()).collect()
+    one = op.fit([r["text"] for r in used], [r["lang"] for r in used])
+    model = op.learn(docs, per_language=60)  # 60 rows would be two texts
+    assert model.languages == one.languages and np.allclose(model.weights, one.weights, atol=1e-4)
+    monkeypatch.setattr(op, "LANGUAGE_BYTES", 1)
+    assert op.learn(docs).languages == one.languages
