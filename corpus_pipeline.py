@@ -18,9 +18,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language (``und``); ``lang`` becomes the predicted one."""
+    """Drops documents without a language (``und``); ``lang`` becomes the predicted one.
+
+    Where no language can be learned, only texts that are null or have no letter go, and ``lang`` stays as it is."""
     configure(spark)
-    found = op04_language.identify(docs, op04_language.learn(docs))
+    model = op04_language.learn(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = op04_language.identify(docs, model)
     kept = found.where(F.col("lang_pred") != op04_language.UNDETERMINED).withColumn("lang", F.col("lang_pred"))
     return kept.select(*[f"`{c}`" for c in docs.columns])
 

@@ -43,3 +43,11 @@ def test_clean_documents_pass_language_id_and_odd_rows_do_not_crash(llm):
     for _, stage in corpus_pipeline.STAGES[1:]:
         stage(llm, docs.limit(30).union(odd), SF).collect()
         stage(llm, docs.limit(0), SF).collect()
+
+
+def test_language_id_keeps_an_unlabelled_corpus(llm):
+    docs = llm.read.parquet(f"{SF}/documents.parquet").limit(30).selectExpr("doc_id", "text", "cast(null as string) as lang", "* except (doc_id, text, lang)")
+    docs = docs.select(*llm.read.parquet(f"{SF}/documents.parquet").columns)
+    odd = llm.createDataFrame([(10**6, None, None, None, None), (10**6 + 1, "", None, None, 0), (10**6 + 2, "12 34!", None, None, 5), (10**6 + 3, "7 да", None, None, 5)], docs.schema)
+    kept = corpus_pipeline.language_id(llm, docs.union(odd), SF).collect()
+    assert len(kept) == docs.count() + 1 and all(r["lang"] is None for r in kept) and 10**6 + 3 in {r["doc_id"] for r in kept}
