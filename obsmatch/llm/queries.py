@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op04_language, op05_urls, op06_html, op07_token_files, op08_minhash, op09_chat, op10_sharding
+from obsmatch.llm import op01_embeddings, op02_mixing, op03_decontamination, op04_language, op05_urls, op06_html, op07_token_files, op08_minhash, op09_chat, op10_sharding, op11_vector_codes, op12_lines, op13_merkle
 from obsmatch.llm.common import configure, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,22 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document."""
     return op10_sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+@query("op11_vector_codes", op11_vector_codes.oracle("embeddings"))
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and error of every vector."""
+    return op11_vector_codes.code_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_line_dedup", op12_lines.oracle("documents"))
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, before and after those common to ten documents or more are dropped."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op12_lines.digest(op12_lines.line_dedup(docs))
+
+
+@query("op13_merkle_manifest", op13_merkle.oracle("documents"))
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether its proof holds after tampering."""
+    return op13_merkle.verified(op13_merkle.documents_manifest(table(spark, sf_dir, "documents")))
