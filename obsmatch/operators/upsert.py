@@ -1,7 +1,6 @@
 """Keyed, change-detecting upsert (UPS-1..4): the reference's MERGE without a table format.
 
-``plan`` is one full outer join of target and staging on the keys (both sides hash-partitioned
-on the keys once; the staging window below reuses that partitioning) with an action per row:
+``plan`` is one full outer join of target and staging on the keys with an action per row:
 
 * ``insert``    -- staging row with no target match (null keys never match: inserted each time);
 * ``update``    -- matched and some attribute ``IS DISTINCT FROM`` the staging value;
@@ -9,11 +8,14 @@ on the keys once; the staging window below reuses that partitioning) with an act
 * ``untouched`` -- target row no staging row matches. Nothing is ever deleted.
 
 A target row that more than one staging row would update is an error, as in the reference's
-warehouse; staging rows equal to the target row are no updates, and keep it once. ``counts`` gives
-the affected rows (insert + update) from the same plan, so a replay reports 0 and
-``sinks.merge_into`` then publishes no new version. Equal staging rows meet as one row and a count
-before the window over the key, so a key repeated many times is no hot key; rows with a null key
-are salted by a hash of the row (the same on every retry) so that they cannot gather in one task.
+warehouse; staging rows equal to the target row are no updates, and keep it once. Whether that is so follows from
+one row per repeated key: its number of rows and of distinct attribute values, and the least and greatest of these with
+their numbers of rows (partial aggregates; no window sorts the staging rows). Keys that staging has once are not in that
+table, so it is mostly empty and adaptive execution broadcasts it. Equal staging rows meet as one row and a count before
+any exchange on the key, so a row repeated many times is no hot key; rows with a null key take no part in the join.
+
+``sinks.merge_into`` writes ``changes`` of one such plan: the next state and what happened to each row, counted by the
+same write.
 """
 
 from __future__ import annotations
@@ -21,13 +23,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsmatch.functions.expr import null_safe_diff
 
-# Partitions over which rows with a null key are scattered.
-NULL_KEY_SPREAD = 4096
+# Copies of a row that one array makes; a row repeated more often takes several.
+COPIES = 1 << 20
+# What a merge did to a row of the state it wrote.
+CHANGE = "_change"
+
 
 def _any(cols: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, cols, F.lit(False))
@@ -39,58 +44,65 @@ def plan(target: DataFrame, staging: DataFrame, keys: Sequence[str], attrs: Sequ
     missing = [c for c in [*keys, *attrs] if c not in cols or c not in staging.columns]
     if missing:
         raise ValueError(f"upsert columns missing: {missing}")
-    # Null keys never match, but they all hash to one partition of the join and of the staging
-    # window: a hot key AQE cannot split in a full outer join. A salt that is 0 for real keys and
-    # spread for null keys keeps matching unchanged and scatters those rows.
-    def salt() -> Column:
-        any_null = _any([F.col(k).isNull() for k in keys])
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(NULL_KEY_SPREAD))
-        return F.when(any_null, spread).otherwise(F.lit(0)).cast("int")
-
-    def values(side: str) -> Column:
-        return F.struct(*[F.col(f"{side}_{a}") for a in attrs])
-
-    s = staging.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
-    s = s.select(*[F.col(c).alias(f"s_{c}") for c in cols], "_copies", F.lit(True).alias("_s"), salt().alias("_ss"))
-    # The windows are keyed like the join (renamed keys and salt), so one exchange serves all.
-    key_cols = [*[f"s_{k}" for k in keys], "_ss"]
-    by_key = Window.partitionBy(*key_cols)
-    by_value = Window.partitionBy(*key_cols, *[f"s_{a}" for a in attrs])
-    order = [F.col(f"s_{c}").asc_nulls_first() for c in cols]
-    s = s.select(
-        "*",
-        F.sum("_copies").over(by_key).alias("_n"),  # staging rows of the key
-        F.sum("_copies").over(by_value).alias("_same"),  # those with this row's attributes
-        F.row_number().over(by_value.orderBy(*order)).alias("_rn"),
-        F.min(values("s")).over(by_key).alias("_lo"),
-        F.max(values("s")).over(by_key).alias("_hi"),
-        F.dense_rank().over(by_key.orderBy(*[F.col(f"s_{a}").asc_nulls_first() for a in attrs])).alias("_rank"),
+    null_key = _any([F.col(k).isNull() for k in keys])
+    others = [c for c in cols if c not in keys and c not in attrs]
+    t_cols, s_cols = [f"t_{c}" for c in cols], [f"s_{c}" for c in cols]
+
+    def values(prefix: str = "") -> Column:
+        return F.struct(*[F.col(f"{prefix}{a}").alias(a) for a in attrs])
+
+    rows = staging.select(*cols)
+    s = rows.where(~null_key).groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    by_value = s if not others else s.groupBy(*keys, *attrs).agg(F.sum("_copies").alias("_copies"), F.min(F.struct(*others)).alias("_least"))
+    one = F.struct(values().alias("value"), F.col("_copies").alias("n"))
+    least = F.min(F.struct(values().alias("value"), "_least")) if others else F.lit(None)
+    repeated = (
+        by_value.groupBy(*[F.col(k).alias(f"k_{k}") for k in keys])
+        .agg(F.sum("_copies").alias("_n"), F.count(F.lit(1)).alias("_values"), F.min(one).alias("_lo"), F.max(one).alias("_hi"), least.alias("_first"))
+        .where(F.col("_n") > 1)
     )
-    s = s.withColumn("_values", F.max("_rank").over(by_key)).drop("_rank")
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"), salt().alias("_ts"))
-    on = reduce(lambda a, b: a & b, [t[f"t_{k}"] == s[f"s_{k}"] for k in keys], t["_ts"] == s["_ss"])
+    s = s.select(*[F.col(c).alias(f"s_{c}") for c in cols], "_copies", F.lit(True).alias("_s"))
+    s = s.join(repeated, [F.col(f"s_{k}") == F.col(f"k_{k}") for k in keys], "left")
+    t = target.where(~null_key).select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
+    on = reduce(lambda a, b: a & b, [t[f"t_{k}"] == s[f"s_{k}"] for k in keys])
     j = t.join(s, on, "full_outer")
 
     matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
     changed = _any([null_safe_diff(f"t_{a}", f"s_{a}") for a in attrs])
-    # A changed row is the only update of its target row if it stands alone or all other staging
-    # rows of the key equal the target: then there are two values, this one once.
-    other = F.when(values("s").eqNullSafe(F.col("_lo")), F.col("_hi")).otherwise(F.col("_lo"))
-    alone = (F.col("_n") == 1) | ((F.col("_same") == 1) & (F.col("_values") == 2) & values("t").eqNullSafe(other))
+
+    def updates_of(end: str) -> Column:
+        return F.when(values("t_").eqNullSafe(F.col(f"{end}.value")), F.lit(0)).otherwise(F.col(f"{end}.n"))
+
+    # How many staging rows of the key would update the target row; of three values at least two differ from it.
+    updates = (
+        F.when(F.col("_n").isNull(), changed.cast("bigint"))
+        .when(F.col("_values") == 1, updates_of("_lo"))
+        .when(F.col("_values") == 2, updates_of("_lo") + updates_of("_hi"))
+        .otherwise(F.lit(2))
+    )
     action = (
-        F.when(matched & changed & ~alone, F.raise_error(F.lit("MERGE: a target row matches several updating staging rows")))
+        F.when(matched & (updates > 1), F.raise_error(F.lit("MERGE: a target row matches several updating staging rows")))
         .when(matched & changed, F.lit("update"))
         .when(matched, F.lit("unchanged"))
         .when(F.col("_s").isNotNull(), F.lit("insert"))
         .otherwise(F.lit("untouched"))
     )
-    # A target row equal to some staging rows is kept once, unless another one updates it.
-    keep = ~matched | changed | ((F.col("_rn") == 1) & (F.col("_same") == F.col("_n")))
+    # A target row equal to all its staging rows is kept once: by the first of them.
+    first = F.struct(*[F.col(f"s_{c}").alias(c) for c in others]).eqNullSafe(F.col("_first._least")) if others else F.lit(True)
+    keep = ~matched | changed | ((updates == 0) & (F.col("_n").isNull() | first))
     out = j.where(keep).withColumn("_action", action)
     # Staging rows without a target are inserted as often as they come.
-    copies = F.when(F.col("_action") == "insert", F.col("_copies")).otherwise(F.lit(1)).cast("int")
-    helpers = ["_ss", "_ts", "_copies", "_n", "_same", "_rn", "_lo", "_hi", "_values", "_copy"]
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).drop(*helpers)
+    copies = F.when(F.col("_action") == "insert", F.col("_copies")).otherwise(F.lit(1))
+    out = out.withColumn("_left", copies).withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_left") - 1) / COPIES).cast("int"))))
+    here = F.least(F.lit(COPIES), F.col("_left") - F.col("_part").cast("bigint") * COPIES).cast("int")
+    joined = out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), here))).select(*t_cols, "_t", *s_cols, "_s", "_action")
+
+    def alone(df: DataFrame, side: str, action: str) -> DataFrame:
+        kinds = {f.name: f.dataType for f in joined.schema.fields}
+        mine = df.where(null_key).select(*[F.col(c).alias(f"{side}_{c}") for c in cols], F.lit(True).alias(f"_{side}"), F.lit(action).alias("_action"))
+        return mine.select(*[F.col(c) if c in mine.columns else F.lit(None).cast(kinds[c]).alias(c) for c in joined.columns])
+
+    return joined.unionByName(alone(target, "t", "untouched")).unionByName(alone(rows, "s", "insert"))
 
 
 def next_state(planned: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -101,11 +113,22 @@ def next_state(planned: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def count_columns(keys: Sequence[str]) -> list[Column]:
+def changes(planned: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The target after the merge with what happened to each row, as ``CHANGE``."""
+    take_s = F.col("_action").isin("insert", "update")
+    return planned.select(*[F.when(take_s, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in columns], F.col("_action").alias(CHANGE))
+
+
+def change_counts(keys: Sequence[str]) -> list[Column]:
+    """:func:`count_columns` over ``changes``."""
+    return count_columns(keys, CHANGE, "")
+
+
+def count_columns(keys: Sequence[str], action: str = "_action", prefix: str = "s_") -> list[Column]:
     """Aggregates over a plan: rows per action, ``affected`` (= inserted + updated, the DML
     count) and the inserted rows with a null key, which a replay inserts again."""
-    a = F.col("_action")
-    null_key = _any([F.col(f"s_{k}").isNull() for k in keys])
+    a = F.col(action)
+    null_key = _any([F.col(f"{prefix}{k}").isNull() for k in keys])
     return [
         F.count_if(a == "insert").alias("inserted"),
         F.count_if(a == "update").alias("updated"),

@@ -17,12 +17,15 @@ Plan, with the shuffles it costs:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsmatch.operators.asof import nearest_in_time, time_range_pairs
 from obsmatch.operators.nearest import PreparedSites, nearest, prepare_sites
 from obsmatch.schemas import ACCIDENT_COLUMNS, GOLD_COLUMNS, WEATHER_VALUES
+from obsmatch.session import materialize, materialize_observed
 
 STATION_COLUMNS = ["station_id", "station_name", "latitude", "longitude"]
 # Fixed value of the reference: an observation may be up to two hours before or after.
@@ -81,10 +84,12 @@ def accident_weather(
     *,
     tolerance_minutes: int = TOLERANCE_MINUTES,
     edge: float | None = None,
+    station_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """The Gold table: 18 columns in the reference's order, one row per accident id."""
+    """The Gold table: 18 columns in the reference's order, one row per accident id. ``station_rows`` are the stations of
+    ``weather`` where they are known already."""
     accidents = accidents.select(*ACCIDENT_COLUMNS)
-    prepared = prepare_stations(stations(weather), edge)
+    prepared = prepare_stations(stations(weather) if station_rows is None else station_rows, edge)
     year_filter = None
     if "year" in weather.columns:
         # Silver weather laid out by year= folders: skip the years outside the accidents' range.
@@ -125,40 +130,73 @@ def changed_rows(previous: DataFrame | None, current_staging: DataFrame, keys: l
     return j.where(F.col("_p").isNull() | differs).select(*current_staging.columns)
 
 
-def refresh(
+def station_changes(previous: DataFrame, current: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
+    """(stations that came, stations that went, their numbers) between two station sets: one aggregate over both."""
+    sides = previous.select(*STATION_COLUMNS, F.lit(True).alias("_old"), F.lit(False).alias("_new"))
+    sides = sides.unionByName(current.select(*STATION_COLUMNS, F.lit(False).alias("_old"), F.lit(True).alias("_new")))
+    both = sides.groupBy(*STATION_COLUMNS).agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
+    diff, n = materialize_observed(both.where("_old <> _new"), F.count_if(F.col("_new")).alias("came"), F.count_if(F.col("_old")).alias("went"), name="station_changes")
+    came, went = diff.where("_new").select(*STATION_COLUMNS), diff.where("_old").select(*STATION_COLUMNS)
+    return came, went, int(n["came"]), int(n["went"])
+
+
+def outdated(
     previous_gold: DataFrame,
     accidents: DataFrame,
-    weather: DataFrame,
     changed_accidents: DataFrame,
     changed_weather: DataFrame,
-    previous_weather: DataFrame,
-    *,
+    previous_stations: DataFrame,
+    current_stations: DataFrame,
     tolerance_minutes: int = TOLERANCE_MINUTES,
-) -> DataFrame:
-    """Incremental Gold, equal to ``accident_weather(accidents, weather)``.
-
-    A Gold row depends only on its accident rows, on the station set and on its station's
-    observations within the tolerance, and merges never delete. So when the station set is
-    unchanged, only accidents whose rows changed, or whose station got a changed observation
-    within ±tolerance of the accident, are recomputed; the other rows are kept. A changed station
-    set (a new station, name or position can move any accident's nearest) rebuilds everything.
-    """
-    old_st, new_st = stations(previous_weather), stations(weather)
-    station_changes = old_st.exceptAll(new_st).unionByName(new_st.exceptAll(old_st)).limit(1).count()
-    if station_changes:
-        return accident_weather(accidents, weather, tolerance_minutes=tolerance_minutes)
-
-    by_row = changed_accidents.select(F.col("accident_id").alias("_aid"))
+) -> tuple[DataFrame, int]:
+    """The accident ids (_aid) whose Gold rows may differ now, and their number: those with a changed row; those whose station
+    got a changed observation within the tolerance; those whose station went; and, as a ball query, those with a new
+    station at their known distance or nearer. The nearest of the few new stations is found like the nearest of all."""
+    previous = previous_gold.select(F.col("accident_id").alias("_aid"), "station_id", "station_name", F.col("distance_to_station_m").alias("_known"), F.col("accident_timestamp").alias("_ats"))
+    parts = [changed_accidents.select(F.col("accident_id").alias("_aid"))]
     near_obs = time_range_pairs(
-        previous_gold.select(F.col("accident_id").alias("_aid"), "station_id", F.col("accident_timestamp").alias("_ats")),
+        previous.select("_aid", "station_id", "_ats"),
         changed_weather.select("station_id", F.col("observation_timestamp").alias("_ots")),
         by="station_id",
         left_ts="_ats",
         right_ts="_ots",
         tolerance_minutes=tolerance_minutes,
-    ).select("_aid")
-    affected = by_row.unionByName(near_obs).distinct()
-    keep = previous_gold.join(affected, previous_gold["accident_id"].eqNullSafe(affected["_aid"]), "left_anti")
-    redo_acc = accidents.join(affected, accidents["accident_id"].eqNullSafe(affected["_aid"]), "left_semi")
-    redo = accident_weather(redo_acc, weather, tolerance_minutes=tolerance_minutes)
-    return keep.select(*GOLD_COLUMNS).unionByName(redo.select(*GOLD_COLUMNS))
+    )
+    parts.append(near_obs.select("_aid"))
+    came, went, n_came, n_went = station_changes(previous_stations, current_stations)
+    if n_went:
+        gone = went.select(F.col("station_id").alias("_sid"), F.col("station_name").alias("_name")).distinct()
+        parts.append(previous.join(gone, F.col("station_id").eqNullSafe(F.col("_sid")) & F.col("station_name").eqNullSafe(F.col("_name")), "left_semi").select("_aid"))
+    if n_came:
+        reach = nearest_station(accidents.select(*ACCIDENT_COLUMNS), came).select("accident_id", "distance_to_station_m")
+        ball = reach.join(previous, F.col("accident_id").eqNullSafe(F.col("_aid")), "left")
+        parts.append(ball.where(F.col("_known").isNull() | (F.col("distance_to_station_m") <= F.col("_known"))).select(F.col("accident_id").alias("_aid")))
+    ids, n = materialize_observed(reduce(DataFrame.unionByName, parts).distinct(), F.count(F.lit(1)).alias("n"), name="outdated")
+    return ids, int(n["n"])
+
+
+def refresh(
+    previous_gold: DataFrame,
+    accidents: DataFrame,
+    weather: DataFrame,
+    changed_accidents: DataFrame,
+    changed_weather: DataFrame,
+    previous_weather: DataFrame,
+    *,
+    tolerance_minutes: int = TOLERANCE_MINUTES,
+) -> tuple[DataFrame, int]:
+    """Incremental Gold, equal to ``accident_weather(accidents, weather)``, and the number of accidents
+    that were computed anew.
+
+    A Gold row depends only on its accident rows, on the stations and on its station's observations within the
+    tolerance, and merges never delete. So only the accidents that ``outdated`` names are recomputed; the other rows are
+    kept. A station that came, went, moved or changed its name touches the accidents around it only.
+    """
+    current = materialize(stations(weather), "stations")
+    ids, n = outdated(previous_gold, accidents, changed_accidents, changed_weather, stations(previous_weather), current, tolerance_minutes)
+    keep = previous_gold.join(ids, previous_gold["accident_id"].eqNullSafe(ids["_aid"]), "left_anti").select(*GOLD_COLUMNS)
+    if not n:
+        return keep, 0
+    again = accidents.join(ids, accidents["accident_id"].eqNullSafe(ids["_aid"]), "left_semi")
+    redo = accident_weather(again, weather, tolerance_minutes=tolerance_minutes, station_rows=current)
+    return keep.unionByName(redo.select(*GOLD_COLUMNS)), n

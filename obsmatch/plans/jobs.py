@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from obsmatch.plans import gold, silver
 from obsmatch.schemas import ACCIDENT_ATTRS, ACCIDENT_KEYS, WEATHER_ATTRS, WEATHER_KEYS
-from obsmatch.session import materialize, scratch_scope
+from obsmatch.session import scratch_scope
 from obsmatch.sources.delimited import read_delimited
-from obsmatch.sources.sinks import _FS, VersionedTable, merge_into, write_partitioned
+from obsmatch.sources.sinks import _FS, Conflict, VersionedTable, merge_into, write_partitioned
 
 
 def _write_silver(
@@ -93,38 +93,49 @@ def load_and_build_gold(
     gold_table: str,
     *,
     incremental: bool = True,
-) -> dict[str, dict[str, int] | int | str]:
+) -> dict[str, dict[str, int] | int | str | None]:
     """JOB-3: incremental loads of both Silver tables, then the Gold table.
 
-    Every Gold version names the accident and weather versions it was built from. If those are the
-    current ones after the loads, Gold is left as it is. If they were the current ones before the
-    loads, the rows that the loads insert or update are known, and with ``incremental`` only the
-    accidents they can affect are computed anew (``gold.refresh``, equal to a full rebuild). In every
-    other case -- a first run, or one after a run that died between a merge and Gold -- Gold is
-    rebuilt in full, so a repeated run heals a broken one.
+    Every Gold version names the accident and weather versions it was built from, and reads exactly those. If those are
+    the current ones after the loads, Gold is left as it is. Otherwise, with ``incremental``, the rows that merges inserted
+    or updated since -- by this run, by one that died before Gold, or by another writer -- are read from the versions
+    in between, and only the accidents they can affect are computed anew (``gold.refresh``, equal to a full rebuild; their
+    number is returned). Gold is rebuilt in full only where there is none or where one of those versions is gone. If another
+    run publishes a Gold version meanwhile, this one looks again at what is current.
     """
     acc = VersionedTable(spark, accidents_table)
     wea = VersionedTable(spark, weather_table)
     g = VersionedTable(spark, gold_table)
-    with scratch_scope(spark):
-        stg_a = materialize(silver_accidents.select(*ACCIDENT_KEYS, *ACCIDENT_ATTRS), "staging_accidents")
-        stg_w = materialize(silver_weather.select(*WEATHER_KEYS, *WEATHER_ATTRS), "staging_weather")
-        before = {"accidents": acc.version(), "weather": wea.version()}
-        use_refresh = incremental and g.sources() == before and None not in before.values()
-        if use_refresh:
-            prev_wea = wea.read(before["weather"])
-            ch_a = materialize(gold.changed_rows(acc.read(before["accidents"]), stg_a, ACCIDENT_KEYS, ACCIDENT_ATTRS), "changed_accidents")
-            ch_w = materialize(gold.changed_rows(prev_wea, stg_w, WEATHER_KEYS, WEATHER_ATTRS), "changed_weather")
-        acc_counts = merge_into(acc, stg_a, ACCIDENT_KEYS, ACCIDENT_ATTRS)
-        wea_counts = merge_into(wea, stg_w, WEATHER_KEYS, WEATHER_ATTRS)
-        now = {"accidents": acc.version(), "weather": wea.version()}
-        if g.sources() == now:
-            return {"accidents": acc_counts, "weather": wea_counts, "gold_version": g.version(), "gold": "unchanged"}
-        if use_refresh:
-            new_gold = gold.refresh(g.read(), acc.read(), wea.read(), ch_a, ch_w, prev_wea)
-            mode = "refreshed"
-        else:
-            new_gold = gold.accident_weather(acc.read(), wea.read())
-            mode = "rebuilt"
-        version = g.replace(new_gold, now)
-    return {"accidents": acc_counts, "weather": wea_counts, "gold_version": version, "gold": mode}
+    out = {
+        "accidents": merge_into(acc, silver_accidents.select(*ACCIDENT_KEYS, *ACCIDENT_ATTRS), ACCIDENT_KEYS, ACCIDENT_ATTRS),
+        "weather": merge_into(wea, silver_weather.select(*WEATHER_KEYS, *WEATHER_ATTRS), WEATHER_KEYS, WEATHER_ATTRS),
+    }
+    while True:
+        with scratch_scope(spark):
+            base = g.version()
+            built = g.sources(base) if base is not None else None
+            now = {"accidents": acc.version(), "weather": wea.version()}
+            if built == now:
+                return out | {"gold_version": base, "gold": "unchanged", "recomputed": 0}
+            accidents, weather = acc.read(now["accidents"]), wea.read(now["weather"])
+            since = [_since(t, built, now, n) for t, n in ((acc, "accidents"), (wea, "weather"))] if incremental and built else [None]
+            if all(c is not None for c in since):
+                new_gold, recomputed = gold.refresh(g.read(base), accidents, weather, *since, wea.read(built["weather"]))
+                mode = "refreshed"
+            else:
+                new_gold, recomputed = gold.accident_weather(accidents, weather), None
+                mode = "rebuilt"
+            try:
+                version = g.replace(new_gold, now, base)
+            except Conflict:
+                continue
+            return out | {"gold_version": version, "gold": mode, "recomputed": recomputed}
+
+
+def _since(table: VersionedTable, built: Mapping[str, int], now: Mapping[str, int], name: str) -> DataFrame | None:
+    """The rows changed between two versions; None if that is not known."""
+    if built.get(name) is None or built[name] > now[name] or built[name] not in table.versions():
+        return None
+    if built[name] == now[name]:
+        return table.read(now[name]).limit(0)
+    return table.changes(built[name], now[name])

@@ -1,22 +1,30 @@
 """Sinks (SNK-1..5): partitioned Parquet and versioned tables.
 
 Plain Parquet tables reject MERGE, UPDATE and CREATE OR REPLACE, and a plan may not overwrite
-the path it reads. A ``VersionedTable`` therefore writes every new state to a fresh folder
-``_v=<n>``, whose number is claimed by creating a file exclusively, and then creates the file
-``_PUBLISHED`` in that folder. The current version is the highest published one: there is no pointer
-to replace or to lose, two writers never share a folder, and a folder that a dead job left behind is
-never written again nor read. Task retries inside a write are handled by Spark's commit protocol.
+the path it reads. A ``VersionedTable`` therefore writes every new state to a fresh folder of its own, ``_new=<id>``, and
+publishes it by renaming that folder to ``_v=<base + 1>``, where ``base`` is the version the writer read. Only one folder can
+get that name, so of two writers that read the same version one succeeds and the other gets ``Conflict`` and plans its
+work again on the newer version: no update is lost (optimistic concurrency). The current version is the highest one: there
+is no pointer to replace or to lose, and a folder that a dead job left behind is never read. Renaming a folder must be one
+step, as on HDFS and local file systems; task retries inside a write are handled by Spark's commit protocol.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-PUBLISHED = "_PUBLISHED"
+# In a version's folder: what it was published with; that its rows were deleted since.
+PUBLISHED, EMPTIED = "_PUBLISHED", "_EMPTIED"
+
+
+class Conflict(RuntimeError):
+    """Another writer published a version after the one that this writer read."""
 
 
 def write_partitioned(
@@ -108,6 +116,13 @@ class _FS:
         return True
 
 
+    def rename(self, source: str, target: str) -> None:
+        self.fs.rename(self.child(source), self.child(target))
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self.child(name), True)
+
+
 class VersionedTable:
     """A table whose state is replaced by publishing a new version (SNK-2..4, UPS-4)."""
 
@@ -118,9 +133,9 @@ class VersionedTable:
         self._fs = _FS(spark, self.root)
 
     def versions(self) -> list[int]:
-        """The published versions, oldest first."""
+        """The versions that can be read, oldest first."""
         found = sorted(int(n[3:]) for n in self._fs.names() if n.startswith("_v=") and n[3:].isdigit())
-        return [n for n in found if self._fs.exists(f"_v={n}/{PUBLISHED}")]
+        return [n for n in found if not self._fs.exists(f"_v={n}/{EMPTIED}")]
 
     def version(self) -> int | None:
         return max(self.versions(), default=None)
@@ -135,37 +150,68 @@ class VersionedTable:
         return f"{self.root}/_v={v}"
 
     def read(self, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.path(version))
+        from obsmatch.operators.upsert import CHANGE
 
-    def sources(self) -> dict | None:
-        """What the current version was published with: the versions it was built from."""
-        v = self.version()
-        text = None if v is None else self._fs.read_text(f"_v={v}/{PUBLISHED}")
-        return json.loads(text) if text else None
-
-    def claim(self) -> int:
-        """A version number that nobody has or had, with nothing in its folder."""
-        used = [int(n.split("=")[1]) for n in self._fs.names() if n.startswith(("_v=", "_claim=")) and n.split("=")[1].isdigit()]
-        n = max(used, default=-1) + 1
-        while not self._fs.create(f"_claim={n}"):
-            n += 1
-        return n
+        return self.spark.read.parquet(self.path(version)).drop(CHANGE)
 
-    def publish(self, version: int, sources: dict | None = None) -> None:
-        if not self._fs.create(f"_v={version}/{PUBLISHED}", json.dumps(sources or {})):
-            raise RuntimeError(f"version {version} of {self.root} is already published")
+    def changes(self, after: int, upto: int) -> DataFrame | None:
+        """The rows that the merges ``after`` + 1 to ``upto`` inserted or updated, each as that merge left it; None if
+        a version among them is gone or was not made by a merge."""
+        from obsmatch.operators.upsert import CHANGE
+
+        here = set(self.versions())
+        parts = [self.spark.read.parquet(self.path(n)) for n in range(after + 1, upto + 1) if n in here]
+        if not parts or len(parts) < upto - after or any(CHANGE not in p.columns for p in parts):
+            return None
+        return reduce(DataFrame.unionByName, [p.where(F.col(CHANGE).isin("insert", "update")).drop(CHANGE) for p in parts])
 
-    def replace(self, df: DataFrame, sources: dict | None = None) -> int:
-        """SNK-4: write ``df`` as the next version, then publish it."""
-        n = self.claim()
-        write_partitioned(df, f"{self.root}/_v={n}", self.partition_cols)
-        self.publish(n, sources)
+    def sources(self, version: int | None = None) -> dict | None:
+        """What a version (the current one) was published with: the versions it was built from."""
+        v = self.version() if version is None else version
+        text = None if v is None else self._fs.read_text(f"_v={v}/{PUBLISHED}")
+        return json.loads(text)["sources"] if text else None
+
+    def stage(self) -> str:
+        """The name of a folder that nobody else writes and nobody reads."""
+        return f"_new={uuid.uuid4().hex}"
+
+    def publish(self, staged: str, base: int | None, sources: dict | None = None) -> int:
+        """Makes the folder ``staged`` the version after ``base`` (None: the first). ``Conflict`` if there is one already."""
+        n = 0 if base is None else base + 1
+        self._fs.create(f"{staged}/{PUBLISHED}", json.dumps({"staged": staged, "sources": sources or {}}))
+        if not self._fs.exists(f"_v={n}"):
+            self._fs.rename(staged, f"_v={n}")
+        text = self._fs.read_text(f"_v={n}/{PUBLISHED}")
+        if text is None or json.loads(text)["staged"] != staged:
+            # A rename onto a folder that came first puts this one inside it, under a name that readers skip.
+            self._fs.delete(f"_v={n}/{staged}")
+            self._fs.delete(staged)
+            raise Conflict(f"version {n} of {self.root} was published by another writer")
         return n
 
+    def replace(self, df: DataFrame, sources: dict | None = None, base: int | None = -1) -> int:
+        """SNK-4: write ``df`` as the next version, then publish it. With ``base`` (None: no version) only if that is still the
+        current one; without it ``df`` follows whatever is current then."""
+        staged = self.stage()
+        write_partitioned(df, f"{self.root}/{staged}", self.partition_cols)
+        if base != -1:
+            return self.publish(staged, base, sources)
+        while True:
+            try:
+                return self.publish(staged, self.version(), sources)
+            except Conflict:  # its folder is gone
+                staged = self.stage()
+                write_partitioned(df, f"{self.root}/{staged}", self.partition_cols)
+
     def vacuum(self, keep: int = 2) -> None:
-        """Deletes published versions but the last ``keep``."""
+        """Deletes the rows of all versions but the last ``keep``. Their names stay taken, so that a slow writer still meets
+        its conflict."""
         for n in self.versions()[:-keep]:
-            self._fs.fs.delete(self._fs.child(f"_v={n}"), True)
+            self._fs.create(f"_v={n}/{EMPTIED}")
+            folder = _FS(self.spark, f"{self.root}/_v={n}")
+            for name in folder.names():
+                if name not in (PUBLISHED, EMPTIED):
+                    folder.delete(name)
 
 
 def merge_into(
@@ -176,25 +222,35 @@ def merge_into(
 ) -> dict[str, int]:
     """UPS-4 end to end: initialise from staging or merge into the current version.
 
-    Counting comes first and writes nothing, so a replay costs one join and leaves the table as it
-    was; only a merge that inserts or updates writes and publishes a version. Staging is written
-    once (SNK-2) and read from there by both. Returns the counts.
+    Staging is written once (SNK-2). One join of it with the target gives the next state and what happened to each of its
+    rows; both are written together, and counted by that write, into a folder that becomes the next version if a
+    row was inserted or updated (a replay publishes nothing) and if nobody else published one meanwhile: else the merge is
+    planned again on the version that is current then. Every conflict means that another merge succeeded. Returns the
+    counts.
     """
-    from obsmatch.operators.upsert import counts, next_state, plan, upsert
+    from obsmatch.operators.upsert import CHANGE, change_counts, changes, plan
     from obsmatch.session import materialize, scratch_scope
 
     with scratch_scope(table.spark):
         staging = materialize(staging, "staging")
-        if not table.exists():
-            state, found = upsert(None, staging, keys, attrs)
-            table.replace(state)
-            return found.first().asDict()
-        target = table.read()
-        planned = plan(target, staging, keys, attrs)
-        found = {k: int(v) for k, v in counts(planned, keys).first().asDict().items()}
-        if found["affected"] > 0:
-            table.replace(next_state(planned, target.columns))
-    return found
+        while True:
+            base = table.version()
+            if base is None:
+                state = staging.withColumn(CHANGE, F.lit("insert"))
+            else:
+                target = table.read(base)
+                state = changes(plan(target, staging, keys, attrs), target.columns)
+            staged, seen = table.stage(), Observation(f"merge-{uuid.uuid4().hex}")
+            write_partitioned(state, f"{table.root}/{staged}", table.partition_cols, observe=(seen, change_counts(keys)))
+            found = {k: int(v) for k, v in seen.get.items()}
+            if base is not None and not found["affected"]:
+                table._fs.delete(staged)
+                return found
+            try:
+                table.publish(staged, base)
+                return found
+            except Conflict:
+                continue
 
 
 def merge_partitions(

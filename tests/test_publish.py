@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from obsmatch.operators.upsert import counts, next_state, plan
 from obsmatch.plans import jobs
 from obsmatch.sources import sinks
-from obsmatch.sources.sinks import VersionedTable, merge_into, merge_partitions
+from obsmatch.sources.sinks import Conflict, VersionedTable, merge_into, merge_partitions
 
 SCHEMA = "k string, v double"
 
@@ -26,18 +26,75 @@ def state(table):
 def test_an_abandoned_version_is_neither_read_nor_written_again(spark, tmp_root):
     t = VersionedTable(spark, tmp_root, ["k"])
     merge_into(t, df(spark, [("a", 1.0)]), ["k"], ["v"])
-    n = t.claim()  # a job that died before it published, leaving a partition behind
-    df(spark, [("zombie", 9.0)]).write.partitionBy("k").parquet(f"{tmp_root}/_v={n}")
+    left = t.stage()  # a job that died before it published, leaving a partition behind
+    df(spark, [("zombie", 9.0)]).write.partitionBy("k").parquet(f"{tmp_root}/{left}")
     assert t.version() == 0 and [r["k"] for r in t.read().collect()] == ["a"]
     merge_into(t, df(spark, [("b", 2.0)]), ["k"], ["v"])
-    assert t.version() > n and sorted(r["k"] for r in t.read().collect()) == ["a", "b"]
-    with pytest.raises(RuntimeError):
-        t.publish(t.version())
+    assert t.version() == 1 and sorted(r["k"] for r in t.read().collect()) == ["a", "b"]
+    assert "k=zombie" in files(f"{tmp_root}/{left}")
 
 
-def test_two_writers_never_share_a_version(spark, tmp_root):
+def test_only_one_of_two_writers_of_a_version_publishes(spark, tmp_root):
     a, b = VersionedTable(spark, tmp_root), VersionedTable(spark, tmp_root)
-    assert len({a.claim(), b.claim(), a.claim()}) == 3
+    assert a.replace(df(spark, [("a", 1.0)]), base=None) == 0
+    with pytest.raises(Conflict):
+        b.replace(df(spark, [("b", 2.0)]), base=None)
+    assert a.replace(df(spark, [("c", 3.0)]), {"x": 4}, base=0) == 1 and a.sources() == {"x": 4}
+    with pytest.raises(Conflict):
+        b.replace(df(spark, [("d", 4.0)]), base=0)
+    assert b.replace(df(spark, [("e", 5.0)])) == 2  # SNK-4 without a base: the last writer wins
+    assert state(a) == [("e", 5.0)] and sorted(files(tmp_root)) == ["_v=0", "_v=1", "_v=2"]
+
+
+def test_the_folder_that_loses_a_race_after_its_check_is_not_read(spark, tmp_root, monkeypatch):
+    """Both writers see the name free; the second rename finds a folder there and must not touch its rows."""
+    a, b = VersionedTable(spark, tmp_root), VersionedTable(spark, tmp_root)
+    a.replace(df(spark, [("a", 1.0)]), base=None)
+    real = sinks._FS.exists
+    monkeypatch.setattr(sinks._FS, "exists", lambda self, name: False if name == "_v=1" and self is b._fs else real(self, name))
+    a.replace(df(spark, [("a", 2.0)]), base=0)
+    with pytest.raises(Conflict):
+        b.replace(df(spark, [("b", 2.0)]), base=0)
+    assert state(a) == [("a", 2.0)] and not [n for n in files(f"{tmp_root}/_v=1") if n.startswith("_new")]
+
+
+@pytest.mark.parametrize("step", ["version", "stage", "publish"])
+@pytest.mark.parametrize("first", [True, False])
+def test_two_merges_that_interleave_at_any_step_keep_both_rows(spark, tmp_root, monkeypatch, step, first):
+    t = VersionedTable(spark, tmp_root)
+    if not first:
+        merge_into(t, df(spark, [("zero", 0.0)]), ["k"], ["v"])
+    real, done = getattr(VersionedTable, step), []
+
+    def other_merge(self, *args):
+        out = real(self, *args) if step == "version" else None
+        if not done:
+            done.append(1)
+            merge_into(VersionedTable(spark, tmp_root), df(spark, [("two", 2.0), ("one", 5.0)]), ["k"], ["v"])
+        return out if step == "version" else real(self, *args)
+
+    monkeypatch.setattr(VersionedTable, step, other_merge)
+    found = merge_into(t, df(spark, [("one", 1.0)]), ["k"], ["v"])
+    monkeypatch.setattr(VersionedTable, step, real)
+    assert found["updated"] == 1 and found["inserted"] == 0
+    assert state(t) == [("one", 1.0), ("two", 2.0)] + ([] if first else [("zero", 0.0)])
+    assert t.changes(t.version() - 1, t.version()).collect() == [("one", 1.0)]
+
+
+def test_changes_between_versions(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    for batch in ([("a", 1.0), ("b", 1.0)], [("a", 2.0), ("c", 1.0)], [("b", 1.0), ("c", 3.0), (None, 1.0)]):
+        merge_into(t, df(spark, batch), ["k"], ["v"])
+    assert t.read().columns == ["k", "v"]
+    rows = lambda x: sorted(map(tuple, x.collect()), key=repr)
+    assert rows(t.changes(0, 1)) == [("a", 2.0), ("c", 1.0)]
+    assert rows(t.changes(0, 2)) == sorted([("a", 2.0), ("c", 1.0), ("c", 3.0), (None, 1.0)], key=repr)
+    t.vacuum(keep=1)
+    assert t.changes(0, 2) is None and t.versions() == [2] and t.version() == 2
+    with pytest.raises(Conflict):  # the name of a deleted version stays taken
+        t.replace(df(spark, []), base=0)
+    t.replace(df(spark, [("z", 1.0)]))
+    assert t.changes(2, 3) is None
 
 
 def test_replay_writes_nothing(spark, tmp_root):
@@ -105,10 +162,10 @@ def test_a_rerun_heals_a_crash_at_every_step(spark, tmp_root, monkeypatch, dies_
     more = a.withColumn("accident_id", F.lit("a2")).unionByName(a)
     real = VersionedTable.publish
 
-    def publish(self, version, sources=None):
+    def publish(self, staged, base, sources=None):
         if self.root.endswith(dies_in):
             raise SystemError("died")
-        real(self, version, sources)
+        return real(self, staged, base, sources)
 
     changed_w = w.withColumn("station_name", F.lit("T"))
     monkeypatch.setattr(sinks.VersionedTable, "publish", publish)
