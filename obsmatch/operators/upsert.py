@@ -12,7 +12,8 @@ warehouse; staging rows equal to the target row are no updates, and keep it once
 one row per repeated key: its number of rows and of distinct attribute values, and the least and greatest of these with
 their numbers of rows (partial aggregates; no window sorts the staging rows). Keys that staging has once are not in that
 table, so it is mostly empty and adaptive execution broadcasts it. Equal staging rows meet as one row and a count before
-any exchange on the key, so a row repeated many times is no hot key; rows with a null key take no part in the join.
+any exchange on the key, so a row repeated many times is no hot key; rows with a null key are salted by a hash of the
+row (the same on every retry) so that they cannot gather in one task.
 
 ``sinks.merge_into`` writes ``changes`` of one such plan: the next state and what happened to each row, counted by the
 same write.
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 
 from obsmatch.functions.expr import null_safe_diff
 
+# Partitions over which rows with a null key are scattered.
+NULL_KEY_SPREAD = 4096
 # Copies of a row that one array makes; a row repeated more often takes several.
 COPIES = 1 << 20
 # What a merge did to a row of the state it wrote.
@@ -51,20 +54,23 @@ def plan(target: DataFrame, staging: DataFrame, keys: Sequence[str], attrs: Sequ
     def values(prefix: str = "") -> Column:
         return F.struct(*[F.col(f"{prefix}{a}").alias(a) for a in attrs])
 
-    rows = staging.select(*cols)
-    s = rows.where(~null_key).groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    # Null keys never match, but they all hash to one partition of a full outer join, which AQE cannot split. A salt that
+    # is 0 for real keys and spread for null keys keeps matching unchanged and scatters those rows.
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(NULL_KEY_SPREAD))
+    salt = F.when(null_key, spread).otherwise(F.lit(0)).cast("int")
+    s = staging.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
     by_value = s if not others else s.groupBy(*keys, *attrs).agg(F.sum("_copies").alias("_copies"), F.min(F.struct(*others)).alias("_least"))
     one = F.struct(values().alias("value"), F.col("_copies").alias("n"))
     least = F.min(F.struct(values().alias("value"), "_least")) if others else F.lit(None)
     repeated = (
-        by_value.groupBy(*[F.col(k).alias(f"k_{k}") for k in keys])
+        by_value.where(~null_key).groupBy(*[F.col(k).alias(f"k_{k}") for k in keys])
         .agg(F.sum("_copies").alias("_n"), F.count(F.lit(1)).alias("_values"), F.min(one).alias("_lo"), F.max(one).alias("_hi"), least.alias("_first"))
         .where(F.col("_n") > 1)
     )
-    s = s.select(*[F.col(c).alias(f"s_{c}") for c in cols], "_copies", F.lit(True).alias("_s"))
+    s = s.select(*[F.col(c).alias(f"s_{c}") for c in cols], "_copies", F.lit(True).alias("_s"), salt.alias("_ss"))
     s = s.join(repeated, [F.col(f"s_{k}") == F.col(f"k_{k}") for k in keys], "left")
-    t = target.where(~null_key).select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
-    on = reduce(lambda a, b: a & b, [t[f"t_{k}"] == s[f"s_{k}"] for k in keys])
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"), salt.alias("_ts"))
+    on = reduce(lambda a, b: a & b, [t[f"t_{k}"] == s[f"s_{k}"] for k in keys], t["_ts"] == s["_ss"])
     j = t.join(s, on, "full_outer")
 
     matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
@@ -95,14 +101,7 @@ def plan(target: DataFrame, staging: DataFrame, keys: Sequence[str], attrs: Sequ
     copies = F.when(F.col("_action") == "insert", F.col("_copies")).otherwise(F.lit(1))
     out = out.withColumn("_left", copies).withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_left") - 1) / COPIES).cast("int"))))
     here = F.least(F.lit(COPIES), F.col("_left") - F.col("_part").cast("bigint") * COPIES).cast("int")
-    joined = out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), here))).select(*t_cols, "_t", *s_cols, "_s", "_action")
-
-    def alone(df: DataFrame, side: str, action: str) -> DataFrame:
-        kinds = {f.name: f.dataType for f in joined.schema.fields}
-        mine = df.where(null_key).select(*[F.col(c).alias(f"{side}_{c}") for c in cols], F.lit(True).alias(f"_{side}"), F.lit(action).alias("_action"))
-        return mine.select(*[F.col(c) if c in mine.columns else F.lit(None).cast(kinds[c]).alias(c) for c in joined.columns])
-
-    return joined.unionByName(alone(target, "t", "untouched")).unionByName(alone(rows, "s", "insert"))
+    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), here))).select(*t_cols, "_t", *s_cols, "_s", "_action")
 
 
 def next_state(planned: DataFrame, columns: Sequence[str]) -> DataFrame:

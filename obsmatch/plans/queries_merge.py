@@ -17,7 +17,7 @@ from obsmatch.schemas import (
     WEATHER_COLUMNS,
     WEATHER_KEYS,
 )
-from obsmatch.session import scratch_path
+from obsmatch.session import materialize, scratch_path
 from obsmatch.sources.sinks import VersionedTable, merge_into
 
 
@@ -105,7 +105,7 @@ def merge_replay_counts(spark: SparkSession, sf: str) -> DataFrame:
         ("weather", "TGT_W", "STG_W", WEATHER_COLUMNS, WEATHER_KEYS, WEATHER_ATTRS),
     ):
         t, s = sub(spark, sf, tgt, stg)
-        once = U.next_state(U.plan(t, s, keys, attrs), cols)
+        once = materialize(U.next_state(U.plan(t, s, keys, attrs), cols), "merged")
         twice = U.counts(U.plan(once, s, keys, attrs), keys)
         out.append(twice.select(F.lit(name).alias("dataset"), "*"))
     return out[0].unionByName(out[1])
