@@ -108,6 +108,11 @@ def hour_index(ts: Column | str) -> Column:
     return days.cast("bigint") * 24 + F.hour(ts)
 
 
+def minute_index(ts: Column | str) -> Column:
+    """Minutes since 1970-01-01 (floor), from the calendar fields like ``hour_index``."""
+    return hour_index(ts) * 60 + F.minute(_col(ts))
+
+
 def url_filename(url: Column | str) -> Column:
     """Last path segment of a URL; null when the URL has no file name."""
     path = F.try_parse_url(_col(url), F.lit("PATH"))

@@ -74,18 +74,18 @@ def test_year_partitions_of_weather_are_pruned(spark, tmp_root):
     weather.withColumn("year", F.year("observation_timestamp").cast("string")).write.partitionBy("year").parquet(tmp_root)
     stored = spark.read.parquet(tmp_root)
     seen = []
-    real = asof.time_range_pairs
+    real = asof.neighbours
 
-    def spy(left, right, **kw):
+    def spy(left, right, *args):
         seen.append(right._jdf.queryExecution().executedPlan().toString())
-        return real(left, right, **kw)
+        return real(left, right, *args)
 
-    asof.time_range_pairs = spy
+    asof.neighbours = spy
     try:
         g = accident_weather(acc(spark, [a("x", T(2024, 1, 1, 10, 30))]), stored)
         r = g.first()
     finally:
-        asof.time_range_pairs = real
+        asof.neighbours = real
     assert (r["weather_timestamp"], r["temperature"]) == (T(2024, 1, 1, 10, 0), 1.0)
     scans = [line for line in seen[0].split("\n") if "FileScan" in line and "PartitionFilters" in line]
     assert any("year" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
