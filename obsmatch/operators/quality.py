@@ -113,7 +113,7 @@ def summary(gold: DataFrame, checks: list[tuple[str, str]] | None = None) -> Dat
     checks = checks or CHECKS
     for name, kind in checks:
         if kind not in ("violations", "metrics"):
-            raise ValueError(f"Unknown check type: {kind}")
+            raise ValueError(f"check {name!r} is of kind {kind!r}, not violations or metrics")
         if name not in CHECK_FUNCTIONS:
             raise ValueError(f"Unknown check: {name}")
     per_id = gold.groupBy("accident_id").agg(

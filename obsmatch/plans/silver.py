@@ -21,7 +21,7 @@ from obsmatch.functions.expr import (
     to_long,
     zfill,
 )
-from obsmatch.schemas import ACCIDENT_RAW_COLUMNS, WEATHER_RAW_COLUMNS, require_columns
+from obsmatch.schemas import ACCIDENT_CONTRACT, WEATHER_CONTRACT
 
 
 def _as_list(v: str | int | Iterable[str | int] | None) -> list | None:
@@ -52,7 +52,7 @@ def accidents(raw: DataFrame, departments: str | int | Iterable[str | int] | Non
     ``raw`` holds the raw columns as strings. Rows are never filtered by year and null
     timestamps are kept (SURVEY Q5).
     """
-    require_columns(raw, ACCIDENT_RAW_COLUMNS, "raw accident characteristics")
+    ACCIDENT_CONTRACT.enforce(raw)
     return raw.where(department_filter(departments)).select(
         F.col("Num_Acc").alias("accident_id"),
         accident_timestamp().alias("accident_timestamp"),
@@ -87,7 +87,7 @@ def weather(
     ``department`` is a constant (as in the reference); when it is None the raw ``department``
     column -- the partition value of the file's folder -- is used.
     """
-    require_columns(raw, WEATHER_RAW_COLUMNS, "raw hourly weather observations")
+    WEATHER_CONTRACT.enforce(raw)
     ts = observation_timestamp()
     dep = F.lit(zfill(department)) if department is not None else F.col("department")
     return (
@@ -111,7 +111,7 @@ def weather(
 def weather_rejects(raw: DataFrame, years: str | int | Iterable[str | int] | None = None) -> DataFrame:
     """AGG-4 done before the year filter (the reference counts after it and always prints 0):
     one row with the raw rows, the unparseable hours, the rows of other years and the kept rows."""
-    require_columns(raw, WEATHER_RAW_COLUMNS, "raw hourly weather observations")
+    WEATHER_CONTRACT.enforce(raw)
     ts = observation_timestamp()
     keep = year_filter(ts, years)
     return raw.agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -13,6 +13,7 @@ WEATHER_RAW_COLUMNS = ["NUM_POSTE", "NOM_USUEL", "LAT", "LON", "AAAAMMJJHH", "T"
 # Optional raw weather measures looked at by the profile job.
 CANDIDATE_WEATHER_COLUMNS = ["RR1", "FF", "DD", "T", "U", "VV", "WW"]
 
+# The columns of the Silver and Gold tables, in the reference's order.
 ACCIDENT_COLUMNS = [
     "accident_id",
     "accident_timestamp",
@@ -73,14 +74,27 @@ WEATHER_SCHEMA = T.StructType(
 )
 
 
-class MissingColumnsError(ValueError):
-    pass
+class ContractBroken(ValueError):
+    """A raw table lacks columns that its contract promises; ``absent`` names them."""
 
+    def __init__(self, contract: RawContract, absent: tuple[str, ...]):
+        self.contract, self.absent = contract, absent
+        super().__init__(f"{contract.table} lacks {len(absent)} of its {len(contract.columns)} contract columns: {', '.join(absent)}")
 
-def require_columns(df: DataFrame, required: Sequence[str], dataset: str) -> None:
-    """Raise naming the missing columns, in the given order. Case-sensitive, unlike Spark's
-    resolver, so the names are compared with ``df.columns``. No Spark job runs."""
-    present = set(df.columns)
-    missing = [c for c in required if c not in present]
-    if missing:
-        raise MissingColumnsError(f"Missing columns in {dataset}: {missing}")
+
+@dataclass(frozen=True)
+class RawContract:
+    """The columns a raw table must have, by exact name (Spark's resolver would ignore case). Checked on the schema alone."""
+
+    table: str
+    columns: tuple[str, ...]
+
+    def enforce(self, df: DataFrame) -> DataFrame:
+        absent = tuple(c for c in self.columns if c not in df.columns)
+        if absent:
+            raise ContractBroken(self, absent)
+        return df
+
+
+ACCIDENT_CONTRACT = RawContract("raw accident characteristics", tuple(ACCIDENT_RAW_COLUMNS))
+WEATHER_CONTRACT = RawContract("raw hourly weather observations", tuple(WEATHER_RAW_COLUMNS))

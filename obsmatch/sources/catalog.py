@@ -162,5 +162,5 @@ def accident_requests(spark: SparkSession, years: Iterable[int], types: Iterable
     types = list(types or BAAC_ALIASES)
     for t in types:
         if t not in BAAC_ALIASES:
-            raise ValueError(f"Unsupported BAAC resource type: {t}")
+            raise ValueError(f"no accident resource is called {t!r}; there are {sorted(BAAC_ALIASES)}")
     return spark.createDataFrame([(int(y), t) for y in years for t in types], "year int, resource_type string")

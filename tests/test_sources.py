@@ -1,15 +1,16 @@
 import pytest
 
 from obsmatch.plans import silver
-from obsmatch.schemas import MissingColumnsError, require_columns
+from obsmatch.schemas import ContractBroken, RawContract
 from obsmatch.sources import catalog as C
 from obsmatch.sources.delimited import read_delimited, write_delimited
 
 
 def test_contract_names_missing_and_case(spark):
     df = spark.createDataFrame([("1", "x")], "num_acc string, jour string")
-    with pytest.raises(MissingColumnsError, match=r"\['Num_Acc', 'mois'\]"):
-        require_columns(df, ["Num_Acc", "jour", "mois"], "BAAC")
+    with pytest.raises(ContractBroken, match="BAAC lacks 2 of its 3 contract columns: Num_Acc, mois") as broken:
+        RawContract("BAAC", ("Num_Acc", "jour", "mois")).enforce(df)
+    assert broken.value.absent == ("Num_Acc", "mois")
 
 
 def test_files_with_different_column_order(spark, tmp_root):
