@@ -8,7 +8,8 @@ A component holds the earliest time that counts. Two documents agree on a compon
 their weighted Jaccard similarity. Points are drawn in order of time and only while they are earlier than the
 latest component so far, so a long text costs about one draw for each run.
 
-Steps: equal word sequences become one representative (128-bit fingerprint); signatures of 160 components in 32
+Steps: equal word sequences become one text class (128-bit fingerprint) with a number of its own, and ids come back only in
+the last step, so what rows share an id does not matter before; signatures of 160 components in 32
 bands of 5 give buckets; a bucket's members are compared, exactly, with its hub, the member that meets most
 others; what that leaves unconnected is compared with everything in its bucket that it is not yet connected with, in
 blocks. So no bucket is ever expanded into all its pairs, and no pair of a bucket whose verification could
@@ -17,8 +18,9 @@ Texts travel compressed, and only those of documents that share a bucket.
 A pair at exactly 0.8 shares no bucket with probability (1 - 0.8**5)**32, about 3e-6.
 
 Defined cases: texts without words (null, empty, only punctuation) have no runs and are near nothing; a row with a
-null id is near nothing, is kept and has a null component; rows that share an id share its class; an empty table
-gives no rows; only the id and text columns are read.
+null id is near nothing, is kept and has a null component; of a component's rows the one with the smallest id is kept, and of
+several texts with that id the one with the smallest MD5; rows equal in id and text are one document, kept or not alike; an id
+with several texts is in the class of each, row by row; an empty table gives no rows; only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -89,8 +91,13 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def mark(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.coalesce(F.md5(text), F.lit(""))
+
+
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n_runs, hi, lo, bands) of every document; hi and lo are null and bands empty without words."""
+    """(id, mark, n_runs, hi, lo, bands) of every document; hi and lo are null and bands empty without words."""
 
     def sign(batch: pa.RecordBatch) -> list[pa.Array]:
         runs, his, los, bands, blank = [], [], [], [], []
@@ -123,7 +130,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat, pa.int64()))
         return [pa.array(join(runs), pa.int64()), pa.array(join(his), pa.int64(), mask=none), pa.array(join(los), pa.int64(), mask=none), lists]
 
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("_text"))
+    rows = docs.select(F.col(key).alias("id"), mark(F.col(text)).alias("mark"), F.col(text).alias("_text"))
     return with_arrow_columns(rows, "n_runs bigint, hi bigint, lo bigint, bands array<bigint>", sign, drop=("_text",))
 
 
@@ -216,8 +223,9 @@ def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _packed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(rid, z) with the texts compressed."""
+def _packed(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """(rid, z) with the texts compressed, of the rows that ``wanted`` (rid, id, mark) names, one for each rid."""
+    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).withColumn("_mark", mark(F.col("_text")))
 
     def pack(batch: pa.RecordBatch) -> list[pa.Array]:
         from zstandard import ZstdCompressor
@@ -227,7 +235,9 @@ def _packed(docs: DataFrame, key: str, text: str) -> DataFrame:
         view = memoryview(np.ascontiguousarray(data))
         return [pa.array([press(view[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())]
 
-    return with_arrow_columns(docs.select(F.col(key).alias("rid"), F.col(text).alias("_text")), "z binary", pack, drop=("_text",))
+    packed = with_arrow_columns(rows, "z binary", pack, drop=("_text",))
+    # Rows equal in id and text are copies, so any of them will do.
+    return packed.join(wanted.hint("merge"), (F.col("_id") == F.col("id")) & (F.col("_mark") == F.col("mark"))).dropDuplicates(["id", "mark"]).select("rid", "z")
 
 
 def _unpack(column: pa.ChunkedArray) -> pa.Array:
@@ -266,13 +276,14 @@ def _compare_blocks(rows: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, component_id, kept) of every row: the smallest id of its class, and whether the row has it."""
+    """(key, component_id, kept, mark) of every row: the smallest id of its component, and whether the row is the one to keep."""
     signed = materialize(signatures(docs, key, text), "signatures")
     known = signed.where("id is not null and hi is not null")
-    classes = materialize(known.groupBy("hi", "lo").agg(F.min("id").alias("rid")), "classes")
-    of = materialize(known.select("id", "hi", "lo").join(classes, ["hi", "lo"]).select("id", "rid").distinct(), "representatives")
-    reps = known.join(classes, (known["hi"] == classes["hi"]) & (known["lo"] == classes["lo"]) & (known["id"] == classes["rid"]))
-    entries = reps.select("rid", "n_runs", F.explode("bands").alias("bucket"))
+    # One row a text class, numbered; the row with the smallest id and mark stands for it.
+    first = F.min(F.struct("id", "mark", "n_runs", "bands")).alias("first")
+    classes = known.groupBy("hi", "lo").agg(first).select("hi", "lo", "first.*", F.monotonically_increasing_id().alias("rid"))
+    classes = materialize(classes, "classes")
+    entries = classes.select("rid", "n_runs", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     # Merge joins whatever the size: both sides grow with the corpus, and AQE splits a hot bucket.
     members = materialize(entries.join(shared.hint("merge"), "bucket").distinct(), "entries")
@@ -283,25 +294,58 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     met = members.groupBy("rid").agg(F.sum("n").alias("met"))
     hubs = members.join(met, "rid").groupBy("bucket").agg(F.max_by("rid", F.struct("met", -F.col("rid"))).alias("hub"))
     members = materialize(members.join(hubs, "bucket"), "hubs")
-    texts = materialize(_packed(docs, key, text).join(members.select("rid").distinct().hint("merge"), "rid", "left_semi"), "texts")
+    wanted = classes.select("rid", "id", "mark").join(members.select("rid").distinct(), "rid", "left_semi")
+    texts = materialize(_packed(docs, wanted, key, text), "texts")
 
     pairs = members.where("rid <> hub").select("hub", "rid", "n_runs").distinct()
     links = materialize(_compare_with_hub(pairs, texts), "links")
-    state = _open_buckets(members, links)
+    comp, state = _open_buckets(members, links)
     if not state.isEmpty():
-        links = materialize(links.union(_compare_blocks(state, texts)), "links")
+        links = links.union(_compare_blocks(state, texts))
+        comp = components(links)
 
-    # Ids that carry several texts belong to all their classes.
-    final = components(links.union(of.where("id <> rid").select(F.col("id").alias("a"), F.col("rid").alias("b"))))
-    out = signed.select("id").join(final, F.col("id") == F.col("node"), "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(key), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    # Ids from here on: a component is named by its smallest id, and the row that stands for that id is kept.
+    placed = classes.join(comp, F.col("rid") == F.col("node"), "left").select("hi", "lo", "id", "mark", F.coalesce("component", "rid").alias("component"))
+    placed = materialize(placed, "components")
+    keeper = placed.groupBy(F.col("component").alias("_component")).agg(F.min(F.struct("id", "mark")).alias("keep"))
+    named = placed.join(keeper, F.col("component") == F.col("_component")).select(F.col("hi").alias("_hi"), F.col("lo").alias("_lo"), "keep")
+    out = signed.join(named, (F.col("hi") == F.col("_hi")) & (F.col("lo") == F.col("_lo")) & F.col("id").isNotNull(), "left")
+    kept = F.coalesce((F.col("id") == F.col("keep.id")) & (F.col("mark") == F.col("keep.mark")), F.lit(True))
+    return out.select(F.col("id").alias(key), F.coalesce("keep.id", "id").alias("component_id"), kept.alias("kept"), "mark")
 
 
-def _open_buckets(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members, with their components so far, of the buckets of three or more that hold several components."""
+def _open_buckets(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The components so far, and the members, with these, of the buckets of three or more that hold several of them."""
     comp = components(links)
     rows = members.where("n > 2").join(comp, members["rid"] == comp["node"], "left").select("bucket", "rid", "n_runs", F.coalesce("component", "rid").alias("comp"))
     rows = materialize(rows, "placed")
     still = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    return materialize(rows.join(still, "bucket"), "open")
+    return comp, materialize(rows.join(still, "bucket"), "open")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component; rows with a null id all stay."""
+    kept = near_duplicates(docs, key, text).where(F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col("mark").alias("_kept")).distinct()
+    rows = docs.where(F.col(key).isNotNull()).withColumn("_mark", mark(F.col(text)))
+    one = rows.join(kept, (F.col(key) == F.col("_id")) & (F.col("_mark") == F.col("_kept")), "left_semi").dropDuplicates([key, "_mark"])
+    return one.drop("_mark").unionByName(docs.where(F.col(key).isNull()))
+
+
+def oracle(docs: str) -> str:
+    """All pairs that share a run, for tables of some thousand rows."""
+    words = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    run = f"array_to_string(w[k:k + {SHINGLE - 1}], ' ')"
+    return f"""
+        WITH RECURSIVE rows_ AS (SELECT row_number() OVER () AS r, doc_id, md5(text) AS mark, {words} AS w FROM {docs}),
+        runs AS (SELECT r, unnest(range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)) AS k, w FROM rows_ WHERE len(w) > 0 AND doc_id IS NOT NULL),
+        bags AS (SELECT r, {run} AS x, count(*) AS c FROM runs GROUP BY ALL),
+        sizes AS (SELECT r, sum(c) AS n FROM bags GROUP BY r),
+        shared AS (SELECT a.r AS a, b.r AS b, sum(least(a.c, b.c)) AS common FROM bags a JOIN bags b ON a.x = b.x AND a.r <> b.r GROUP BY ALL),
+        links AS (SELECT a, b FROM shared JOIN sizes s ON s.r = a JOIN sizes t ON t.r = b WHERE {NEAR[1]} * common >= {NEAR[0]} * (s.n + t.n - common)),
+        reach AS (SELECT r, r AS low FROM rows_ UNION SELECT l.b, reach.low FROM reach JOIN links l ON l.a = reach.r),
+        comp AS (SELECT r, min(low) AS low FROM reach GROUP BY r),
+        keep AS (SELECT low, min(struct_pack(id := doc_id, mark := coalesce(mark, ''))) AS first FROM comp JOIN rows_ USING (r) GROUP BY low)
+        SELECT doc_id, CASE WHEN doc_id IS NOT NULL THEN first.id END AS component_id,
+            doc_id IS NULL OR (first.id = doc_id AND first.mark = coalesce(mark, '')) AS kept
+        FROM rows_ JOIN comp USING (r) JOIN keep USING (low)
+    """

@@ -74,10 +74,10 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op8_minhash_near_duplicates")
+@query("op8_minhash_near_duplicates", op08_minhash.oracle("documents"))
 def minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
-    return op08_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return op08_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("mark")
 
 
 @query("op9_chat_formatting", op09_chat.oracle("conversations"))
