@@ -31,11 +31,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate class: the one with the smallest id."""
+    """Keeps one document of each near-duplicate class: the one with the smallest id.
+
+    Rows equal in id and text are one document; different texts of one id are judged each on its own."""
     configure(spark)
-    kept = op08_minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # rows of one id are copies
-    return one.unionByName(docs.where("doc_id is null"))
+    return op08_minhash.keep_one(docs).select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
