@@ -2,7 +2,8 @@
 
 A page becomes a tree of elements with its text in blocks (runs of text between block-level tags). Elements that are
 page furniture by tag are set aside; so are those that are it by role or a class or id word, unless they hold the article
-or their text, discounted, is still more than all that stands around them. Each block of some length
+or their text, discounted, is still more than all that stands around them; readers' comments never are where the page
+has a block of prose outside furniture. Formulas, labels and the fallback texts of objects are text like any other. Each block of some length
 passes points, for its length and commas and discounted by its share of link text, to the element around it, and half,
 a third, ... of them to the ancestors above. The element with the most points, discounted by its own link
 density, is the container; an article or main element around it takes its place. Siblings with a fair share of its
@@ -25,11 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_RAW = "script|style|noscript|template|iframe|textarea|title|select|svg|math|object|audio|video|canvas|noframes"
+_RAW = "script|style|noscript|template|iframe|textarea|title|noframes"
+#: Elements whose contents are no text either, which a tag ending in "/>" closes at once, or which stay open for ever.
+_MEDIA = "svg|select|audio|video|canvas|annotation|annotation-xml"
 #: Tags, comments and the contents of elements that hold no text. No alternative can match one text in two ways.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{_RAW})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<media>{_MEDIA})(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<!/)>(?=(?P<inside>.*?</(?P=media)\s*>))(?P=inside)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|</?[a-zA-Z!?][^>]*+(?:>|\Z)",
     re.S | re.I,
@@ -44,15 +48,18 @@ BLOCK = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that never hold main text.
-FURNITURE = frozenset("nav footer aside form button menu dialog head fieldset label input".split())
+FURNITURE = frozenset("nav footer aside button menu dialog head".split())
+#: Elements that are furniture unless they hold the article or most of the page's text, as a form around a whole page does.
+WRAPPERS = frozenset("form fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 #: Words of classes and ids that name furniture.
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion sidebar sidebars menu navbar nav navigation"
     " breadcrumb breadcrumbs footer masthead notice notices cookie cookies consent gdpr banner popup modal overlay newsletter subscribe"
-    " signup login comment comments disqus respond replies discussion related recommended share sharing social pagination pager widget toolbar"
-    " disclaimer".split()
+    " signup login related recommended share sharing social pagination pager widget toolbar disclaimer alert alerts".split()
 )
+#: Words that name readers' comments: these do not win against prose by their length.
+READERS = frozenset("comment comments disqus respond replies discussion".split())
 #: Words that make a class or id tell what an element has, not what it is.
 STATES = frozenset("has with without no".split())
 #: Elements that a start tag closes when they are open.
@@ -70,6 +77,8 @@ LEVELS = 5
 SIBLING_SHARE = 0.2
 #: What text in an element of a furniture name weighs, on a page without and with an article.
 NAMED = (0.2, 0.05)
+#: Characters of a block outside furniture that is prose.
+PROSE = 100
 #: Characters between two links of a menu.
 BETWEEN_LINKS = 3
 
@@ -78,17 +87,19 @@ class Page:
     """Elements by number (parents before children) and blocks: (element, text, characters in links, links)."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.soft, self.hard = ["html"], [-1], [False], [False]
+        self.tag, self.parent, self.soft, self.hard, self.readers = ["html"], [-1], [False], [False], [False]
         self.blocks: list[tuple[int, str, int, int]] = []
         self._read(source)
 
     def _open(self, tag: str, parent: int, attrs: str) -> int:
-        hard, soft = tag in FURNITURE or self.hard[parent], False
+        hard, soft, readers = tag in FURNITURE or self.hard[parent], tag in WRAPPERS, False
         if attrs and not hard:
             for m in _ATTR.finditer(attrs):
                 name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
                 if name in ("class", "id"):
-                    soft = soft or any(not NAMES.isdisjoint(words) and STATES.isdisjoint(words) for words in map(_WORD.findall, value.split()))
+                    named = [words for words in map(_WORD.findall, value.split()) if STATES.isdisjoint(words)]
+                    readers = readers or any(not READERS.isdisjoint(words) for words in named)
+                    soft = soft or readers or any(not NAMES.isdisjoint(words) for words in named)
                 elif name == "role":
                     soft = soft or value in ROLES
                 elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
@@ -97,6 +108,7 @@ class Page:
         self.parent.append(parent)
         self.soft.append(soft and tag not in ("html", "body", "main"))
         self.hard.append(hard)
+        self.readers.append(readers and self.soft[-1])
         return len(self.tag) - 1
 
     def _read(self, source: str) -> None:
@@ -191,6 +203,7 @@ def main_text(source: str | None) -> str:
     for at, text, linked, _ in page.blocks:
         plain[at] += len(text) - linked
         weighed[at] += len(text) - linked
+    prose = any(len(text) - linked >= PROSE and not named[at] and around[at] == 0 for at, text, linked, _ in page.blocks)
     article = any(holds[k] and plain[k] for k in range(n))
     for k in range(n - 1, 0, -1):
         if named[k]:
@@ -202,7 +215,8 @@ def main_text(source: str | None) -> str:
     out = [False] * n
     for k in range(1, n):
         c = around[k]
-        furniture = named[k] and not (weighed[k] > plain[c] and weighed[k] >= SIBLING_SHARE * heaviest[c])
+        heavy = weighed[k] > plain[c] and weighed[k] >= SIBLING_SHARE * heaviest[c]
+        furniture = named[k] and not (heavy and not (page.readers[k] and prose))
         out[k] = out[page.parent[k]] or page.hard[k] or furniture
     text_of, link_of, links_in = [0] * n, [0] * n, [0] * n
     points = [0.0] * n

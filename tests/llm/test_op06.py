@@ -1,3 +1,6 @@
+import html
+import re
+
 import pytest
 
 from obsmatch.llm.op06_html import extract, main_text
@@ -79,3 +82,41 @@ def test_lists_with_links_inside_the_article_are_text():
     for box in ("article", "div"):
         got = main_text(f"<{box}><p>{LONG}</p><p>{LONG}</p><ul>{linked}</ul><table>{short}</table></{box}>")
         assert all(x in got for x in items) and "Town number 3" in got and "300 people" in got
+
+
+@pytest.mark.parametrize("icon", ["<svg class='i'/>", "<svg class='i'><path d='M 1'/><text>icon</text></svg>", "<svg class=i>", "<object data='x.swf'/>", "<canvas/>", "<video src=a/>"])
+def test_media_tags_do_not_swallow_the_page(icon):
+    assert main_text(f"<body>{icon}<article><p>{LONG}</p>{icon}<p>{LONG}</p></article></body>") == f"{LONG}\n\n{LONG}"
+
+
+def test_a_form_around_the_page_keeps_it():
+    for inner in (f"<article><p>{LONG}</p></article>", f"<div id=content><p>{LONG}</p><p>{LONG}</p></div>"):
+        got = main_text(f"<body><form action=x><input type=hidden>{inner}<footer>&copy; us</footer></form></body>")
+        assert got.startswith(LONG) and "us" not in got.split()
+    assert main_text(f"<div><p>{LONG}</p></div><form><fieldset><label>Your name, please</label><input><p>{LONG[:90]}</p></fieldset></form>") == LONG
+
+
+@pytest.mark.parametrize("box", ["div", "article"])
+def test_readers_never_win_by_volume(box):
+    talk = "".join(f"<li><p>{LONG} {LONG}</p></li>" for _ in range(30))
+    assert main_text(f"<{box}><h1>Head</h1><p>{LONG}</p></{box}><div class='comments-area'><ol>{talk}</ol></div>") == f"Head\n\n{LONG}"
+    assert main_text(f"<{box}><p>{LONG}</p><section id=comments>{talk}</section></{box}>") == LONG
+    assert main_text(f"<div class=discussion><p>{LONG}</p></div><p>A forum.</p>").startswith(LONG)  # there is nothing else
+
+
+def test_formulas_labels_and_alerts():
+    page = f"<article><p>{LONG} <math><mi>a</mi><mo>+</mo><mi>b</mi><annotation>tex</annotation></math> and <label>a word</label>.</p><div class='alert alert-info'>Mind, this, notice, please, all.</div></article>"
+    assert main_text(page) == f"{LONG} a+b and a word."
+
+
+def direct(page):
+    """The article's paragraphs and heading as the given pages write them, without any tree."""
+    inner = re.search("<article>(.*)</article>", page, re.S)[1]
+    blocks = re.split("</?(?:p|h1)>", inner)
+    return "\n\n".join(t for t in (" ".join(html.unescape(re.sub("<[^>]*>", "", b.replace("<br>", " "))).split()) for b in blocks) if t)
+
+
+def test_all_given_pages_equal_a_direct_reading(llm):
+    pages = llm.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    wanted = {r["page_id"]: direct(r["html"]) for r in pages.collect()}
+    assert {r["page_id"]: r["text"] for r in extract(pages).collect()} == wanted and len(wanted) > 200
