@@ -7,18 +7,19 @@ task commits make that safe when executors are lost. Readers open a shard alone:
 occurrences of an id come from the planes without expanding them.
 
 The ids are those of the tokenizer library for the whole text. Texts of ASCII and Latin-1 letters only, without
-"<|", are split as the tokenizer file's own pattern splits them, and each distinct piece is encoded by the library once a
-worker; all others go to the library whole. White space is dropped by this tokenizer, so pieces do not interact.
+"<|" and without pieces over 64 bytes, are split as the tokenizer file's own pattern splits them, many texts at once on their
+bytes, and each distinct piece is encoded by the library once a worker; all others go to the library whole. White space is
+dropped by this tokenizer, so pieces do not interact. A worker tells pieces apart by 64 bits (the chance that two of its two
+million are taken for one another is 10**-7).
 
 Defined cases: null and empty texts have only the end id; null keys come first, and rows of one key stay
-together in one range, in no fixed order; an empty table gives no files and no rows; only the key and text columns
+together in one range, in order of their texts, null first; an empty table gives no files and no rows; only the key and text columns
 are read.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,8 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from obsmatch.llm.common import string_column
+from obsmatch.llm.common import slices, string_column, text_buffers
 from obsmatch.llm.wavelet_file import WaveletFile, encode
+from obsmatch.llm.words import _BASE, _INVERSE, mix, powers
 from obsmatch.session import scratch_path
 
 END = 2
@@ -38,11 +40,73 @@ SHARD_TOKENS = 4_000_000
 #: Distinct pieces that a worker remembers before it starts afresh.
 PIECES = 2_000_000
 
-# The tokenizer file's split pattern, with its letter and digit classes written out for the characters
-# that SIMPLE admits, after lower-casing.
-SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
-_LETTERS = "a-zß-öø-ÿ"
-PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\t\n\x0b\x0c\r {_LETTERS}0-9]+")
+#: Bytes of the longest piece that is told apart by its hash.
+LONGEST = 64
+
+# The tokenizer file's split pattern (after lower-casing: contractions; runs of letters; single digits; runs of
+# anything else but white space), with its classes written out for the bytes of ASCII and Latin-1 letters.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = _CLASS[0x80:] = _LETTER
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+_APOSTROPHE = 0x27
+_SHORT = b"stmd"
+_LONG = (b"re", b"ve", b"ll")
+
+
+def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(lower-cased bytes, start, end of every piece; whether each row is one that is split here).
+
+    A row that is not may have any pieces.
+    """
+    n = len(data)
+    low = _LOWER[data]
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    follows = np.append(data[1:], 0)
+    follows[edge[1:]] = 0  # nothing follows a row's last byte
+    # Two bytes of a Latin-1 letter: the second lower-cased like ASCII; 0x97 and 0xB7 are the signs of arithmetic.
+    pair = (data == 0xC3) & (follows >= 0x80) & (follows != 0x97) & (follows != 0xB7)
+    second = np.flatnonzero(pair) + 1
+    upper = second[(data[second] < 0x9F)]
+    low[upper] += 0x20
+    bad = np.zeros(n + 1, np.int64)
+    strange = data >= 0x80
+    strange &= ~pair
+    strange[second] = False
+    strange |= (data == 0x3C) & (follows == 0x7C)
+    np.cumsum(strange, out=bad[1:])
+    simple = bad[offsets[1:]] == bad[offsets[:-1]]
+
+    kind = _CLASS[data]
+    before = np.empty(n, np.uint8)
+    before[1:], before[:1] = kind[:-1], _SPACE
+    before[edge[:n]] = _SPACE
+    first = (kind != _SPACE) & ((kind != before) | (kind == _DIGIT))
+    # An apostrophe that no sign stands before, and some letters after it, are a piece.
+    at = np.flatnonzero((data == _APOSTROPHE) & (before != _OTHER))
+    if len(at):
+        padded = np.concatenate([low, np.zeros(2, np.uint8)])
+        one, two = padded[at + 1], padded[at + 2]
+        inside = ~edge[np.minimum(at + 1, n)]
+        inside_two = inside & ~edge[np.minimum(at + 2, n)]
+        short = inside & np.isin(one, np.frombuffer(_SHORT, np.uint8))
+        long = np.zeros(len(at), bool)
+        for pair_ in _LONG:
+            long |= inside_two & (one == pair_[0]) & (two == pair_[1])
+        long &= ~short
+        for hit, size in ((at[short], 2), (at[long], 3)):
+            first[hit + 1] = False
+            after = hit + size
+            after = after[after < n]
+            after = after[(kind[after] != _SPACE)]
+            first[after] = True
+    last = kind != _SPACE
+    last[:-1] &= first[1:] | (kind[1:] == _SPACE) | edge[1:n]
+    return low, np.flatnonzero(first), np.flatnonzero(last) + 1, simple
 
 
 class Encoder:
@@ -59,7 +123,8 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.number: dict[str, int] = {}
+        self.hashes = np.zeros(0, np.uint64)  # of the known pieces, ascending, and their numbers
+        self.number = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)  # of all known pieces, one after another
         self.at = np.zeros(1, np.int64)
 
@@ -83,28 +148,47 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each)."""
+        return self.encode_bytes(*text_buffers(pa.array(texts, pa.large_string())))
+
+    def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of UTF-8 texts that lie one after another."""
         if len(self.number) > PIECES:
             self._reset()
-        simple = [bool(SIMPLE.fullmatch(t)) and "<|" not in t for t in texts]
-        split = [PIECE.findall(t.lower()) if s else [] for t, s in zip(texts, simple, strict=True)]
-        number = self.number
-        fresh = [p for p in set().union(*split) if p not in number]
-        if fresh:
-            for p in fresh:
-                number[p] = len(number)
-            self._learn(fresh)
-        flat = np.fromiter((number[p] for pieces in split for p in pieces), np.int64)
-        begin, size = self.at[flat], self.at[flat + 1] - self.at[flat]
+        low, start, end, simple = split(data, offsets)
+        row = np.searchsorted(offsets, start, "right") - 1
+        long = row[end - start > LONGEST]
+        simple[long] = False
+        use = simple[row]
+        start, end, row = start[use], end[use], row[use]
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(low)), out=total[1:])
+        value = mix((total[end] - total[start]) * powers(_INVERSE, len(low) + 1)[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        known, where, inverse = np.unique(value, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, known)
+        fresh = np.ones(len(known), bool)
+        fresh[place < len(self.hashes)] = self.hashes[place[place < len(self.hashes)]] != known[place < len(self.hashes)]
+        if fresh.any():
+            view = low.tobytes()
+            spans = zip(start[where[fresh]].tolist(), end[where[fresh]].tolist(), strict=True)
+            self._learn([view[a:b].decode() for a, b in spans])
+            self.number = np.insert(self.number, place[fresh], np.arange(len(self.hashes), len(self.hashes) + int(fresh.sum())))
+            self.hashes = np.insert(self.hashes, place[fresh], known[fresh])
+            place = np.searchsorted(self.hashes, known)
+        piece = self.number[place][inverse] if len(known) else np.zeros(0, np.int64)
+        begin, size = self.at[piece], self.at[piece + 1] - self.at[piece]
         ends = np.cumsum(size)
         ids = self.ids[np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size - begin, size)]
-        piece_at = np.cumsum([0, *map(len, split)])
-        total = np.concatenate([[0], ends])
-        counts = total[piece_at[1:]] - total[piece_at[:-1]]
-        if all(simple):
+        piece_at = np.searchsorted(row, np.arange(len(offsets)))
+        sums = np.concatenate([[0], ends])
+        counts = sums[piece_at[1:]] - sums[piece_at[:-1]]
+        if simple.all():
             return ids, counts
-        parts, other = [], iter(self.library.encode_batch([t for t, s in zip(texts, simple, strict=True) if not s], add_special_tokens=False))
-        for k, s in enumerate(simple):
-            parts.append(ids[total[piece_at[k]] : total[piece_at[k + 1]]] if s else np.array(next(other).ids, np.uint32))
+        other = np.flatnonzero(~simple).tolist()
+        texts = [data[offsets[k] : offsets[k + 1]].tobytes().decode() for k in other]
+        whole = dict(zip(other, self.library.encode_batch(texts, add_special_tokens=False), strict=True))
+        parts = []
+        for k in range(len(simple)):
+            parts.append(np.array(whole[k].ids, np.uint32) if k in whole else ids[sums[piece_at[k]] : sums[piece_at[k + 1]]])
             counts[k] = len(parts[-1])
         return np.concatenate(parts), counts
 
@@ -137,27 +221,23 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "
             return pa.RecordBatch.from_arrays(columns, names=["first", "part", "n_tokens", "keys", "body"])
 
         for batch in batches:
-            texts = [t or "" for t in string_column(batch, "text").to_pylist()]
             own = string_column(batch, "key")
-            lo = 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size < min(1 << 20, shard_tokens)):  # about a million characters at a time
-                    size += len(texts[hi])
-                    hi += 1
-                flat, n = encoder(tokenizer).encode(texts[lo:hi])
+            data, offsets = text_buffers(string_column(batch, "text"))
+            # About two megabytes of texts at a time, less where a shard is smaller.
+            for lo, hi, part_bytes, part_at in slices(data, offsets, min(2 << 20, shard_tokens)):
+                flat, n = encoder(tokenizer).encode_bytes(part_bytes, part_at)
                 flat = np.insert(flat, np.cumsum(n), end)
                 ids.append(flat.astype(np.uint32))
                 counts.append(n + 1)
                 keys.append(own.slice(lo, hi - lo))
                 held += len(flat)
-                lo = hi
                 if held >= shard_tokens:
                     yield flush()
         if held:
             yield flush()
 
-    ordered = rows.repartitionByRange(F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first())
+    by_key = F.col("key").asc_nulls_first()
+    ordered = rows.repartitionByRange(by_key).sortWithinPartitions(by_key, F.col("text").asc_nulls_first())
     schema = f"first {kind}, part bigint, n_tokens bigint, keys array<{kind}>, body binary"
     ordered.mapInArrow(shards, schema).write.option("maxRecordsPerFile", 1).parquet(folder)
 

@@ -33,16 +33,25 @@ def test_pieces_equal_the_library(texts):
     assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
 
 
+@given(st.lists(st.lists(st.sampled_from(["'s", "'T", "'re", "'ve", "'m", "'ll", "'d", "'", "'l", "r", "É", "ß", "Þ", "7", "42", ".", "''", " ", "\t", "é'", "x" * 63, "Y" * 65, "<", "|", "\x00"]), max_size=9), max_size=5))
+@settings(max_examples=300, deadline=None)
+def test_contractions_and_long_pieces_equal_the_library(parts):
+    texts = ["".join(p) for p in parts]
+    ids, counts = op.encoder(PATH).encode(texts)
+    expected = [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+
+
 def test_files_round_trip(llm):
     texts = [None, "", "Hello <|endoftext|> world's 99", "Ünïcode ÉTÉ 日本", "a " * 20_000, "x" * 5000] + [f"doc {k} don't stop" for k in range(60)]
-    data = [(k * 7 % 66, t, 1) for k, t in enumerate(texts)]
+    data = [(k * 7 % 66, t, 1) for k, t in enumerate(texts)] + [(8, t, 1) for t in ("of one", None, "key", "in order")]
     docs = llm.createDataFrame(data + [(None, "null key", 1), data[2]], "doc_id bigint, text string, first int").repartition(5)
     folder = scratch_path(llm, "files")
     op.write_token_files(docs, folder, PATH, shard_tokens=50)
     files = llm.read.parquet(folder)
     assert files.count() > 5  # many shards, each bounded
     got = op.read_token_files(files).collect()
-    rows = sorted(data + [(None, "null key", 1), data[2]], key=lambda r: (-1 if r[0] is None else r[0]))
+    rows = sorted(data + [(None, "null key", 1), data[2]], key=lambda r: (-1 if r[0] is None else r[0], r[1] is not None, r[1] or ""))
     start, expected = 0, []
     for key, text, _ in rows:
         ids = np.array(LIBRARY.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
