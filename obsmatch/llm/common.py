@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from obsmatch.session import materialize
 from obsmatch.session import configure as configure_library
 
-__all__ = ["configure", "materialize", "slices", "table", "text_buffers", "with_arrow_columns", "string_column"]
+__all__ = ["configure", "materialize", "settle", "slices", "table", "text_buffers", "with_arrow_columns", "string_column"]
 
 #: Bytes of text that a task turns into numpy arrays at a time (a longer single text is taken alone).
 SLICE_BYTES = 2 << 20
@@ -32,6 +32,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def settle(spark: SparkSession) -> None:
+    """Lets the driver's JVM drop the plans, generated classes and broadcasts of the jobs before, which otherwise stay until its
+    heap is full; Spark's cleaner does the same every half hour (``spark.cleaner.periodicGC.interval``)."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
