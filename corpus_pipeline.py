@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmatch.llm import op02_mixing, op03_decontamination, op04_language, op08_minhash, op10_sharding
-from obsmatch.llm.common import configure, materialize, table
+from obsmatch.llm.common import configure, materialize, settle, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,6 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where no language can be learned, only texts that are null or have no letter go, and ``lang`` stays as it is."""
     configure(spark)
+    settle(spark)
     model = op04_language.learn(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -35,12 +36,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows equal in id and text are one document; different texts of one id are judged each on its own."""
     configure(spark)
+    settle(spark)
     return op08_minhash.keep_one(docs).select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     configure(spark)
+    settle(spark)
     blocks = op03_decontamination.phrase_blocks(table(spark, sf_dir, "benchmark"))
     found = op03_decontamination.decontaminate(docs, blocks)
     return found.where("n_hit = 0").select(*[f"`{c}`" for c in docs.columns])
@@ -49,6 +52,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the mixture's proportions, each as often as its epochs have it."""
     configure(spark)
+    settle(spark)
     chosen = materialize(op02_mixing.mix(docs.withColumn("domain", op02_mixing.domain())), "mixture")
     mixed = op02_mixing.apply_mix(docs.withColumn("domain", op02_mixing.domain()), chosen)
     return mixed.select(*[f"`{c}`" for c in docs.columns])
