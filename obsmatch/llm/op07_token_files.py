@@ -223,8 +223,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key: str = "
         for batch in batches:
             own = string_column(batch, "key")
             data, offsets = text_buffers(string_column(batch, "text"))
-            # About two megabytes of texts at a time, less where a shard is smaller.
-            for lo, hi, part_bytes, part_at in slices(data, offsets, min(2 << 20, shard_tokens)):
+            # About a megabyte of texts at a time, less where a shard is smaller.
+            for lo, hi, part_bytes, part_at in slices(data, offsets, min(1 << 20, shard_tokens)):
                 flat, n = encoder(tokenizer).encode_bytes(part_bytes, part_at)
                 flat = np.insert(flat, np.cumsum(n), end)
                 ids.append(flat.astype(np.uint32))
