@@ -32,9 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsmatch.llm.common import groups, materialize, slices, string_column, text_buffers, with_arrow_columns
+from obsmatch.llm.common import groups, materialize, settle, slices, string_column, text_buffers, with_arrow_columns
 from obsmatch.llm.components import components
 from obsmatch.llm.words import mix, sequence_fingerprint, shingles, word_spans
+from obsmatch.session import scratch_path, scratch_scope
 
 SHINGLE = 5
 #: Similarity at which two documents are linked, as a fraction.
@@ -325,7 +326,14 @@ def _open_buckets(members: DataFrame, links: DataFrame) -> tuple[DataFrame, Data
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component; rows with a null id all stay."""
-    kept = near_duplicates(docs, key, text).where(F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col("mark").alias("_kept")).distinct()
+    spark = docs.sparkSession
+    path = scratch_path(spark, "kept")
+    with scratch_scope(spark):  # nothing of the search but its result outlives it
+        kept = near_duplicates(docs, key, text).where(F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col("mark").alias("_kept"))
+        kept.distinct().write.parquet(path)
+    del kept
+    settle(spark)  # its shuffles go before the documents are shuffled
+    kept = spark.read.parquet(path)
     rows = docs.where(F.col(key).isNotNull()).withColumn("_mark", mark(F.col(text)))
     one = rows.join(kept, (F.col(key) == F.col("_id")) & (F.col("_mark") == F.col("_kept")), "left_semi").dropDuplicates([key, "_mark"])
     return one.drop("_mark").unionByName(docs.where(F.col(key).isNull()))
