@@ -89,3 +89,62 @@ def test_picks_have_no_width_or_first_match_cap(spark):
     assert C.pick_accident_resources(cat, reqs).first()["resource_id"] == 1
     wea = C.pick_weather_resources(cat, C.weather_requests(spark, [2021], ["1", "2", "3"]))
     assert {r["department"]: r["resource_id"] for r in wea.collect()} == {"01": 2, "02": 2, "03": None}
+
+
+def _landed(root, files):
+    import gzip
+    import os
+
+    for name, body in files.items():
+        path = os.path.join(root, name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with (gzip.open if name.endswith(".gz") else open)(path, "wb") as f:
+            f.write(body)
+
+
+def test_headers_are_read_in_tasks(spark, tmp_path, monkeypatch):
+    from obsmatch.sources import delimited
+
+    def refuse(*_):
+        raise AssertionError("the driver opened a file")
+
+    monkeypatch.setattr(delimited, "_hadoop_header", refuse)
+    _landed(tmp_path, {
+        "a/one.csv": b"k;v\n1;x\n",
+        "a/mark.csv": b"\xef\xbb\xbfk;v\r\n2;y\r\n",  # byte order mark, CRLF
+        "b c/deep/late.csv": b"\n  \nv;k\nz;3\n",  # blank lines before another order; a space in a folder
+        "b c/packed.csv.gz": b"v;k;w\nu;4;5\n",
+        "b c/empty.csv": b"",
+        "b c/blank.csv": b"\n\n",
+    })
+    files, gzip_files = delimited.file_headers(spark, str(tmp_path))
+    got = {r["path"].rsplit("/", 1)[1]: r["header"] for r in files.collect()}
+    assert got == {"one.csv": "k;v", "mark.csv": "k;v", "late.csv": "v;k", "packed.csv.gz": "v;k;w", "blank.csv": None}
+    assert gzip_files == 1
+    rows = sorted(tuple(r) for r in read_delimited(spark, str(tmp_path)).select("k", "v", "w").collect())
+    assert rows == [("1", "x", None), ("2", "y", None), ("3", "z", None), ("4", "u", "5")]
+
+
+def test_one_header_is_read_without_a_list_of_files(spark, tmp_path):
+    _landed(tmp_path, {f"p/{n}/f.csv": b"k;v\n%d;x\n" % n for n in range(5)} | {"p/none.csv": b""})
+    df = read_delimited(spark, str(tmp_path), with_file=True)
+    assert sorted(r["k"] for r in df.collect()) == ["0", "1", "2", "3", "4"]
+    assert df.select("source_file").distinct().count() == 5
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "nothing").mkdir()
+        read_delimited(spark, str(tmp_path / "nothing"))
+
+
+def test_blank_files_have_no_columns(spark, tmp_path):
+    _landed(tmp_path, {"a.csv": b"", "b.csv": b"\n"})
+    df = read_delimited(spark, str(tmp_path))
+    assert df.columns == [] and df.count() == 0
+    _landed(tmp_path, {"empty/a.csv": b""})
+    with pytest.raises(FileNotFoundError):
+        read_delimited(spark, str(tmp_path / "empty"))
+
+
+def test_files_that_only_hadoop_opens(spark, tmp_root):
+    write_delimited(spark.createDataFrame([("1", "x")], "k string, v string"), f"{tmp_root}/a", compression="deflate")
+    write_delimited(spark.createDataFrame([("y", "2")], "v string, k string"), f"{tmp_root}/b", compression="bzip2")
+    assert sorted(tuple(r) for r in read_delimited(spark, tmp_root).select("k", "v").collect()) == [("1", "x"), ("2", "y")]
