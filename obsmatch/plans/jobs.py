@@ -17,10 +17,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from obsmatch.functions import zfill
 from obsmatch.plans import gold, silver
 from obsmatch.schemas import ACCIDENT_ATTRS, ACCIDENT_KEYS, WEATHER_ATTRS, WEATHER_KEYS
 from obsmatch.session import scratch_scope
 from obsmatch.sources.delimited import read_delimited
+from obsmatch.sources.layout import file_counts, landed_files, require_one
 from obsmatch.sources.sinks import _FS, Conflict, VersionedTable, merge_into, write_partitioned
 
 
@@ -45,17 +47,32 @@ def _write_silver(
     return {"bronze_rows": int(read.get["rows"]), "silver_rows": int(kept.get["rows"])}
 
 
+def _departments(departments: str | Iterable[str] | None) -> list[str] | None:
+    """The departments as folders and files name them, each once."""
+    if departments is None:
+        return None
+    return list(dict.fromkeys(zfill(d) for d in ([departments] if isinstance(departments, str) else departments)))
+
+
 def build_silver_accidents(
     spark: SparkSession,
     raw_paths: str | list[str] | Mapping[int, str | list[str]],
     out: str,
     year: int | None = None,
     departments: str | Iterable[str] | None = None,
+    *,
+    strict: bool = False,
 ) -> dict[str, int]:
     """JOB-1: the accident characteristics for the given departments, of ``year``, or of every year that
-    ``raw_paths`` maps to its files."""
+    ``raw_paths`` maps to its files. With ``strict`` each year must have exactly one file (SRC-5), else nothing is written."""
     by_year = {year: raw_paths} if year is not None else dict(raw_paths)
-    wanted = None if departments is None else [departments] if isinstance(departments, str) else list(departments)
+    wanted = _departments(departments)
+    if strict:
+        files = [
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select(F.lit(int(y)).alias("year"), "path") for y, paths in by_year.items()
+        ]
+        years = spark.createDataFrame([(int(y),) for y in by_year], "year int")
+        require_one(file_counts(reduce(DataFrame.unionByName, files), ["year"], expected=years))
     raw = None
     for y, paths in by_year.items():
         one = read_delimited(spark, paths).withColumn("_year", F.lit(int(y)))
@@ -73,15 +90,31 @@ def build_silver_weather(
     raw_root: str,
     out: str,
     years: int | Iterable[int],
+    departments: str | Iterable[str] | None = None,
+    *,
+    strict: bool = False,
 ) -> dict[str, int]:
-    """JOB-2: hourly observations of ``years`` for every ``department=`` folder under ``raw_root``."""
+    """JOB-2: hourly observations of ``years`` for every ``department=`` folder under ``raw_root``, or for those of
+    ``departments``: other folders are neither opened nor replaced. With ``strict`` each department must have exactly one
+    file (SRC-5), else nothing is written; otherwise a department without a folder has no rows."""
     wanted = [years] if isinstance(years, int) else list(years)
-    raw = read_delimited(spark, raw_root, base_path=raw_root, min_partitions=spark.sparkContext.defaultParallelism)
+    deps = _departments(departments)
+    if strict:
+        asked = None if deps is None else spark.createDataFrame([(d,) for d in deps], "department string")
+        landed = landed_files(spark, raw_root)
+        require_one(file_counts(landed if deps is None else landed.where(F.col("department").isin(deps)), ["department"], expected=asked))
+    roots: str | list[str] = raw_root
+    if deps is not None:
+        here = set(_FS(spark, raw_root).names())
+        roots = [f"{raw_root.rstrip('/')}/department={d}" for d in deps if f"department={d}" in here]
+        if not roots:
+            raise FileNotFoundError(f"no folder of the departments {', '.join(deps)} under {raw_root}")
+    raw = read_delimited(spark, roots, base_path=raw_root, min_partitions=spark.sparkContext.defaultParallelism)
 
     def clean(df: DataFrame) -> DataFrame:
         return silver.weather(df, wanted).withColumn("year", F.year("observation_timestamp"))
 
-    return _write_silver(raw, clean, out, wanted, None, ["station_id", "observation_timestamp"])
+    return _write_silver(raw, clean, out, wanted, deps, ["station_id", "observation_timestamp"])
 
 
 def load_and_build_gold(

@@ -15,7 +15,7 @@ from obsmatch.operators import profile
 from obsmatch.plans import oracle as O
 from obsmatch.plans.registry import register, sub, with_sql
 from obsmatch.schemas import WEATHER_RAW_COLUMNS
-from obsmatch.session import scratch_path
+from obsmatch.session import materialize, scratch_path
 from obsmatch.sources import catalog as C
 from obsmatch.sources import layout
 from obsmatch.sources.delimited import read_delimited, write_delimited
@@ -226,6 +226,25 @@ def source_file_counts(spark: SparkSession, sf: str) -> DataFrame:
     return layout.file_counts(layout.landed_files(spark, root), ["department", "period"], strict=True)
 
 
+@register(
+    "source_file_counts_requested",
+    with_sql(("W_RAW",))
+    + f"""SELECT department, period, cast(CASE WHEN cast(department AS integer) % 2 = 0 THEN 2 ELSE 1 END AS bigint) AS files
+FROM (SELECT DISTINCT {_LAYOUT_SQL} FROM W_RAW)
+UNION ALL SELECT DISTINCT substr(NUM_POSTE, 7, 2), '1900-1909', cast(0 AS bigint) FROM W_RAW""",
+)
+def source_file_counts_requested(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-5 with none, one and two objects: even departments land a second time, and a period is asked for that none has."""
+    root = _land_layout(spark, sf)
+    once = read_delimited(spark, root, base_path=root)
+    requests = once.select("department", "period").distinct()
+    requests = requests.unionByName(once.select("department", F.lit("1900-1909").alias("period")).distinct())
+    asked = materialize(requests, "requests")
+    again = materialize(once.where(F.col("department").cast("int") % 2 == 0), "second_landing")
+    write_delimited(again, root, partition_cols=["department", "period"], mode="append")
+    return layout.file_counts(layout.landed_files(spark, root), ["department", "period"], expected=asked)
+
+
 _FILE_SQL = "nullif(regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1), '')"
 
 

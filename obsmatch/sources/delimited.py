@@ -143,13 +143,13 @@ def read_delimited(
 
 
 def write_delimited(df: DataFrame, path: str, *, sep: str = ";", compression: str | None = None,
-                    partition_cols: Sequence[str] = ()) -> None:
+                    partition_cols: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Write a raw-shaped table as delimited text with a header (for landing and tests)."""
-    w = df.write.mode("overwrite").option("header", True).option("sep", sep)
+    w = df.write.mode(mode).option("header", True).option("sep", sep)
     if compression:
         w = w.option("compression", compression)
     if partition_cols:
-        df.repartition(*partition_cols).write.mode("overwrite").option("header", True).option("sep", sep).option(
+        df.repartition(*partition_cols).write.mode(mode).option("header", True).option("sep", sep).option(
             "compression", compression or "none"
         ).partitionBy(*partition_cols).csv(path)
         return

@@ -50,6 +50,20 @@ def file_counts(
     return out
 
 
+class NotOneObject(ValueError):
+    """A partition that was asked for has no file, or several."""
+
+
+def require_one(counts: DataFrame) -> None:
+    """SRC-5 as a check before a job: raises ``NotOneObject`` with the partitions of ``file_counts`` whose number is not one
+    (the first twenty by value)."""
+    keys = [c for c in counts.columns if c != "files"]
+    bad = counts.where("files <> 1").orderBy(*keys).limit(20).collect()
+    if bad:
+        told = "; ".join(f"{', '.join(f'{k}={r[k]}' for k in keys)}: {r['files']}" for r in bad)
+        raise NotOneObject(f"one file is expected in each, found {told}")
+
+
 def lineage(files: DataFrame, catalog: DataFrame, file_key: str = "file_name", keys: Sequence[str] = ()) -> DataFrame:
     """SRC-6: each landed file with the catalog resource (url, title) that it came from.
 
