@@ -6,8 +6,8 @@ documents inside a task: its words become symbols (the words of the phrases; all
 FM-index is searched backward for all phrases at once. Occurrences are located from sampled suffix positions and
 merged into removal spans of words. Nothing is shuffled, and a task holds one slice's index at a time.
 
-The phrases are the stated query set. They reach the tasks in blocks of at most ``block_words`` words, and each
-block is a pass over the documents; the driver holds one block at a time.
+The phrases are the stated query set. They reach the tasks in blocks of about ``block_words`` words, and each
+block is a pass over the documents. All passes are one lazy plan, so the driver holds the phrases of all blocks.
 
 Defined cases: null and empty texts have no words and no hits; a null item text has no phrases; an item with a
 null id counts under the id ``null``; equal items are each listed; an empty benchmark hits nothing; the input's
@@ -98,9 +98,12 @@ def search_slice(data: np.ndarray, offsets: np.ndarray, p: Phrases) -> tuple[np.
     start = word[index.locate(rows)]
     end = start + p.lengths[phrase]
     doc = np.searchsorted(at, start, "right") - 1
+    # A phrase that occurs often in a document, and that many items share, is expanded to its items once.
+    met = np.unique(doc * len(p.lengths) + phrase)
+    of, phrase = met // len(p.lengths), met % len(p.lengths)
     per = p.item_at[phrase + 1] - p.item_at[phrase]
     item = p.items[_expand(p.item_at[phrase], per)]
-    pair = np.unique(np.repeat(doc, per) * len(p.names) + item) if len(item) else empty
+    pair = np.unique(np.repeat(of, per) * len(p.names) + item) if len(item) else empty
     return at, start, end, pair // max(1, len(p.names)), pair % max(1, len(p.names))
 
 

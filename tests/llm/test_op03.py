@@ -1,6 +1,8 @@
 import pandas as pd
+import pyarrow as pa
 
 from obsmatch.llm import op03_decontamination as op
+from obsmatch.llm.common import text_buffers
 
 SCHEMA = "doc_id bigint, text string, item_ids string, Text2 int"
 WORDS = [f"w{k}é" for k in range(60)]
@@ -44,3 +46,22 @@ def test_empty_tables(llm):
     assert digest(llm, [], items).collect() == []
     assert {r["n_hit"] for r in digest(llm, docs, []).collect()} == {0}
     assert digest(llm, docs, [(None, "short item")]).where("contaminated").count() == 2
+
+
+def test_a_common_word_in_many_equal_items_takes_no_more_memory():
+    import tracemalloc
+
+    data, offsets = text_buffers(pa.array(["the " * 50_000, "a the b", "", "none"], pa.string()))
+
+    def peak(items):
+        p = op.phrases([f"i{k}" for k in range(items)], ["the"] * items)
+        tracemalloc.start()
+        at, start, end, doc, item = op.search_slice(data, offsets, p)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(start) == 50_001 and (end - start == 1).all()
+        assert sorted(zip(doc.tolist(), item.tolist())) == [(d, i) for d in (0, 1) for i in range(items)]
+        return most
+
+    peak(2)  # tables that are built once
+    assert peak(1_000) < 1.2 * peak(1)
