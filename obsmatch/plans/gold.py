@@ -185,8 +185,22 @@ def refresh(
     *,
     tolerance_minutes: int = TOLERANCE_MINUTES,
 ) -> tuple[DataFrame, int]:
-    """Incremental Gold, equal to ``accident_weather(accidents, weather)``, and the number of accidents
-    that were computed anew.
+    """Incremental Gold and the number of accidents that were computed anew (``refresh_with_ids``)."""
+    new, _, n = refresh_with_ids(previous_gold, accidents, weather, changed_accidents, changed_weather, previous_weather, tolerance_minutes)
+    return new, n
+
+
+def refresh_with_ids(
+    previous_gold: DataFrame,
+    accidents: DataFrame,
+    weather: DataFrame,
+    changed_accidents: DataFrame,
+    changed_weather: DataFrame,
+    previous_weather: DataFrame,
+    tolerance_minutes: int = TOLERANCE_MINUTES,
+) -> tuple[DataFrame, DataFrame, int]:
+    """Incremental Gold, equal to ``accident_weather(accidents, weather)``, with the ids (_aid) and the number
+    of accidents that were computed anew.
 
     A Gold row depends only on its accident rows, on the stations and on its station's observations within the
     tolerance, and merges never delete. So only the accidents that ``outdated`` names are recomputed; the other rows are
@@ -196,7 +210,7 @@ def refresh(
     ids, n = outdated(previous_gold, accidents, changed_accidents, changed_weather, stations(previous_weather), current, tolerance_minutes)
     keep = previous_gold.join(ids, previous_gold["accident_id"].eqNullSafe(ids["_aid"]), "left_anti").select(*GOLD_COLUMNS)
     if not n:
-        return keep, 0
+        return keep, ids, 0
     again = accidents.join(ids, accidents["accident_id"].eqNullSafe(ids["_aid"]), "left_semi")
     redo = accident_weather(again, weather, tolerance_minutes=tolerance_minutes, station_rows=current)
-    return keep.unionByName(redo.select(*GOLD_COLUMNS)), n
+    return keep.unionByName(redo.select(*GOLD_COLUMNS)), ids, n

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obsmatch.functions import zfill
+from obsmatch.operators import quality_state
 from obsmatch.plans import gold, silver
 from obsmatch.schemas import ACCIDENT_ATTRS, ACCIDENT_KEYS, WEATHER_ATTRS, WEATHER_KEYS
 from obsmatch.session import scratch_scope
@@ -126,6 +127,7 @@ def load_and_build_gold(
     gold_table: str,
     *,
     incremental: bool = True,
+    metrics_table: str | None = None,
 ) -> dict[str, dict[str, int] | int | str | None]:
     """JOB-3: incremental loads of both Silver tables, then the Gold table.
 
@@ -135,6 +137,9 @@ def load_and_build_gold(
     in between, and only the accidents they can affect are computed anew (``gold.refresh``, equal to a full rebuild; their
     number is returned). Gold is rebuilt in full only where there is none or where one of those versions is gone. If another
     run publishes a Gold version meanwhile, this one looks again at what is current.
+
+    With ``metrics_table`` the state of the quality checks (``quality_state``) follows Gold: only the buckets of the ids that
+    were computed anew are counted again, or all where the state is not that of the Gold version before.
     """
     acc = VersionedTable(spark, accidents_table)
     wea = VersionedTable(spark, weather_table)
@@ -149,20 +154,44 @@ def load_and_build_gold(
             built = g.sources(base) if base is not None else None
             now = {"accidents": acc.version(), "weather": wea.version()}
             if built == now:
-                return out | {"gold_version": base, "gold": "unchanged", "recomputed": 0}
+                out = out | {"gold_version": base, "gold": "unchanged", "recomputed": 0}
+                return out if metrics_table is None else out | {"metrics": _follow(spark, metrics_table, g, base)}
             accidents, weather = acc.read(now["accidents"]), wea.read(now["weather"])
             since = [_since(t, built, now, n) for t, n in ((acc, "accidents"), (wea, "weather"))] if incremental and built else [None]
             if all(c is not None for c in since):
-                new_gold, recomputed = gold.refresh(g.read(base), accidents, weather, *since, wea.read(built["weather"]))
+                new_gold, ids, recomputed = gold.refresh_with_ids(g.read(base), accidents, weather, *since, wea.read(built["weather"]))
                 mode = "refreshed"
             else:
-                new_gold, recomputed = gold.accident_weather(accidents, weather), None
+                new_gold, ids, recomputed = gold.accident_weather(accidents, weather), None, None
                 mode = "rebuilt"
             try:
                 version = g.replace(new_gold, now, base)
             except Conflict:
                 continue
-            return out | {"gold_version": version, "gold": mode, "recomputed": recomputed}
+            out = out | {"gold_version": version, "gold": mode, "recomputed": recomputed}
+            return out if metrics_table is None else out | {"metrics": _follow(spark, metrics_table, g, version, base, ids)}
+
+
+def _follow(spark: SparkSession, path: str, gold_table: VersionedTable, version: int, base: int | None = None, changed_ids: DataFrame | None = None) -> str:
+    """Brings the state of the quality checks to a Gold version: ``unchanged``, ``refreshed`` or ``rebuilt``.
+
+    A run that died between Gold and its state leaves an older state, which the next run rebuilds."""
+    table = VersionedTable(spark, path)
+    while True:
+        at = table.version()
+        built = (table.sources(at) or {}) if at is not None else {}
+        same = built.get("buckets") == quality_state.BUCKETS
+        if same and built["gold"] >= version:  # or another run is ahead
+            return "unchanged"
+        if same and built["gold"] == base and changed_ids is not None:
+            state, mode = quality_state.refresh(table.read(at), gold_table.read(version), changed_ids, "_aid"), "refreshed"
+        else:
+            state, mode = quality_state.partials(gold_table.read(version)), "rebuilt"
+        try:
+            table.replace(state, {"gold": version, "buckets": quality_state.BUCKETS}, at)
+        except Conflict:
+            continue
+        return mode
 
 
 def _since(table: VersionedTable, built: Mapping[str, int], now: Mapping[str, int], name: str) -> DataFrame | None:

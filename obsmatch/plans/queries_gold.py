@@ -138,10 +138,15 @@ def gold_accident_weather(spark: SparkSession, sf: str) -> DataFrame:
 _STATE_A, _STATE_W = "ma_state", "mw_state"
 
 
-@register(
-    "job_load_gold",
+JOB_SQL = (
     with_sql(("TGT_A", "STG_A", "TGT_W", "STG_W"), *queries_merge.ACC, *queries_merge.WEA, O.STATIONS.replace("FROM W", f"FROM {_STATE_W}"),
              O.NEAREST.replace("FROM A a", f"FROM {_STATE_A} a"), O.weather_match(120).replace("LEFT JOIN W w", f"LEFT JOIN {_STATE_W} w"))
+)
+
+
+@register(
+    "job_load_gold",
+    JOB_SQL
     + O.GOLD_SELECT.replace("round(distance_to_station_m, 3)", _DIST)
     + " FROM wm",
 )

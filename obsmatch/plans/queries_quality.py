@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmatch.operators import quality
+from obsmatch.operators import quality, quality_state
 from obsmatch.plans import gold
 from obsmatch.plans import oracle as O
-from obsmatch.plans.queries_gold import GOLD_SQL
+from obsmatch.plans.jobs import load_and_build_gold
+from obsmatch.plans.queries_gold import GOLD_SQL, JOB_SQL
 from obsmatch.plans.registry import register, sub
-from obsmatch.session import materialize
+from obsmatch.session import materialize, scratch_path
+from obsmatch.sources.sinks import VersionedTable
 
 BAD_SQL = (
     GOLD_SQL.rstrip()
@@ -77,17 +79,27 @@ def dq_missing_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     return quality.missing_timestamps(bad_gold(spark, sf))
 
 
-@register(
-    "dq_matching_coverage",
-    BAD_SQL
-    + f"""SELECT count(*) AS total_accidents,
+_COVERAGE = f"""SELECT count(*) AS total_accidents,
        cast(count_if(station_id IS NOT NULL) AS bigint) AS matched_accidents,
        cast(count_if(station_id IS NULL) AS bigint) AS unmatched_accidents,
        {_r(_rate('count_if(station_id IS NOT NULL)') + ' * 100', 2)} AS matching_rate_pct,
        {_r('avg(distance_to_station_m)', 1)} AS avg_distance_m,
        {_r('max(distance_to_station_m)', 1)} AS max_distance_m,
        {_r('avg(weather_time_difference_minutes)', 1)} AS avg_time_difference_min,
-       max(weather_time_difference_minutes) AS max_time_difference_min
+       max(weather_time_difference_minutes) AS max_time_difference_min"""
+_COMPLETENESS = f"""       cast(count_if(temperature IS NULL) AS bigint) AS missing_temperature,
+       cast(count_if(rainfall_1h IS NULL) AS bigint) AS missing_rainfall,
+       cast(count_if(wind_speed IS NULL) AS bigint) AS missing_wind_speed,
+       cast(count_if(wind_direction IS NULL) AS bigint) AS missing_wind_direction,
+       {_r(_rate('count_if(temperature IS NULL)') + ' * 100', 2)} AS temperature_null_pct,
+       {_r(_rate('count_if(rainfall_1h IS NULL)') + ' * 100', 2)} AS rainfall_null_pct,
+       {_r(_rate('count_if(wind_speed IS NULL)') + ' * 100', 2)} AS wind_speed_null_pct"""
+
+
+@register(
+    "dq_matching_coverage",
+    BAD_SQL
+    + f"""{_COVERAGE}
 FROM g""",
 )
 def dq_matching_coverage(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,13 +110,7 @@ def dq_matching_coverage(spark: SparkSession, sf: str) -> DataFrame:
     "dq_weather_completeness",
     BAD_SQL
     + f"""SELECT count(*) AS total_accidents,
-       cast(count_if(temperature IS NULL) AS bigint) AS missing_temperature,
-       cast(count_if(rainfall_1h IS NULL) AS bigint) AS missing_rainfall,
-       cast(count_if(wind_speed IS NULL) AS bigint) AS missing_wind_speed,
-       cast(count_if(wind_direction IS NULL) AS bigint) AS missing_wind_direction,
-       {_r(_rate('count_if(temperature IS NULL)') + ' * 100', 2)} AS temperature_null_pct,
-       {_r(_rate('count_if(rainfall_1h IS NULL)') + ' * 100', 2)} AS rainfall_null_pct,
-       {_r(_rate('count_if(wind_speed IS NULL)') + ' * 100', 2)} AS wind_speed_null_pct
+{_COMPLETENESS}
 FROM g""",
 )
 def dq_weather_completeness(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,3 +152,23 @@ WHERE rank <= 10""",
 )
 def dq_violation_sample(spark: SparkSession, sf: str) -> DataFrame:
     return quality.violation_sample(bad_gold(spark, sf))
+
+
+@register(
+    "job_load_metrics",
+    JOB_SQL
+    + f"""{_COVERAGE},
+{_COMPLETENESS},
+       (SELECT count(*) FROM (SELECT accident_id FROM wm GROUP BY accident_id HAVING count(*) > 1)) AS duplicate_accidents,
+       cast(count_if(latitude IS NULL OR longitude IS NULL OR latitude NOT BETWEEN -90 AND 90
+                     OR longitude NOT BETWEEN -180 AND 180) AS bigint) AS invalid_coordinates,
+       cast(count_if(accident_timestamp IS NULL OR weather_timestamp IS NULL) AS bigint) AS missing_timestamps
+FROM wm""",
+)
+def job_load_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB-3 and DQ-1..5: two loads, after each of which the state of the checks follows Gold by its changed buckets; read
+    from the state, equal to all checks on the whole of Gold."""
+    paths = [scratch_path(spark, f"job_{n}") for n in ("accidents", "weather", "gold", "metrics")]
+    for accidents, weather in (("TGT_A", "TGT_W"), ("STG_A", "STG_W")):
+        load_and_build_gold(spark, *sub(spark, sf, accidents, weather), *paths[:3], metrics_table=paths[3])
+    return quality_state.all_metrics(VersionedTable(spark, paths[3]).read())
