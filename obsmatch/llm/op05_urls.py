@@ -69,7 +69,7 @@ def shape(path: Column) -> Column:
             F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), "{date}")
             .when(s.rlike(r"^[0-9]+(\.[a-z]{2,5})?$"), F.regexp_replace(s, "^[0-9]+", "{n}"))
             .when(s.rlike(r"^[0-9a-fA-F-]{16,}$"), "{hex}")
-            .when(s.rlike(r"[0-9].*[0-9].*[0-9]") | (F.length(s) > 40), "{id}")
+            .when(s.rlike(r"[0-9].*[0-9].*[0-9]"), "{id}")
             .otherwise(s)
         )
 

@@ -61,6 +61,14 @@ def test_a_small_section_keeps_its_verdict_whatever_the_number_of_its_siblings(l
         assert got[k]["verdict"] == ("allow" if quality else "block"), (urls[k], got[k])
 
 
+def test_long_segments_keep_their_own_verdict(llm):
+    """Two sections whose names have 60 letters, one bad: a segment's length alone makes no wildcard of it."""
+    good, bad = "an-article-about-good-things-" * 2 + "xx", "an-advert-that-looks-like-them-" * 2
+    urls = [f"http://l.net/{bad if k % 2 else good}/p{k}.html" for k in range(100)]
+    got = judge(llm, urls, [(k, 1 - k % 2, 0) for k in range(100)])
+    assert {got[k]["verdict"] for k in range(0, 100, 2)} == {"allow"} and {got[k]["verdict"] for k in range(1, 100, 2)} == {"block"}
+
+
 def test_deep_paths_are_told_apart(llm):
     top = "/".join("abcdefgh")
     urls = [f"http://d.net/{top}/{'spam' if k % 2 else 'news'}/x/{k}" for k in range(60)]
