@@ -38,6 +38,8 @@ RADIUS = 0.177
 SEED = 11
 #: Entries of a cell that are compared at once.
 CHUNK = 512
+#: Bytes of vectors in one batch of entries, far below what 32-bit offsets reach.
+BATCH_BYTES = 32 << 20
 
 
 @lru_cache(maxsize=8)
@@ -140,12 +142,16 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_
                 for at in np.array_split(np.flatnonzero(sizes == size), max(1, int((sizes == size).sum()) // 500)):
                     x = flat[(begin[at][:, None] + np.arange(size)).ravel()].reshape(len(at), size)
                     row, cell = entries(unit(x), cosine, radius, seed)
-                    body = np.ascontiguousarray(x[row]).view(np.uint8).ravel()
-                    offsets = np.arange(len(row) + 1, dtype=np.int32) * np.int32(size * x.itemsize)
-                    raw = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
-                    own = pa.array(at[row])
-                    kept = [batch.column(batch.schema.get_field_index(c)).take(own) for c in ("l", "rid", "mult")]
-                    yield pa.RecordBatch.from_arrays([*kept, pa.array(np.full(len(row), size, np.int64)), pa.array(cell), raw], names=["l", "rid", "mult", "size", "cell", "v"])
+                    per = max(1, BATCH_BYTES // (size * x.itemsize))
+                    for lo in range(0, len(row), per):  # a long vector has many entries
+                        part = row[lo : lo + per]
+                        body = np.ascontiguousarray(x[part]).view(np.uint8).ravel()
+                        offsets = np.arange(len(part) + 1, dtype=np.int32) * np.int32(size * x.itemsize)
+                        raw = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+                        own = pa.array(at[part])
+                        kept = [batch.column(batch.schema.get_field_index(c)).take(own) for c in ("l", "rid", "mult")]
+                        columns = [*kept, pa.array(np.full(len(part), size, np.int64)), pa.array(cell[lo : lo + per]), raw]
+                        yield pa.RecordBatch.from_arrays(columns, names=["l", "rid", "mult", "size", "cell", "v"])
 
     kind = dict(reps.dtypes)
     found = reps.mapInArrow(cells_of, f"l {kind['l']}, rid {kind['rid']}, mult bigint, size bigint, cell bigint, v binary")

@@ -54,6 +54,12 @@ def test_equals_brute_force(llm, duck, size, chunk):
     check(llm, duck, data, chunk=chunk)
 
 
+def test_long_vectors_go_in_several_batches(llm, duck):
+    """1,536 coordinates have over 1,000 entries a vector, each with its 6 KB: far more than one batch holds."""
+    data = [(k, v, k % 2, "x", 1) for k, v in enumerate(vectors(1536, 6, 0.14, 9))]
+    check(llm, duck, data)
+
+
 def test_odd_rows(llm, duck):
     one = [1.0, 2.0, 3.0]
     data = [(1, one, 0, "", 0), (2, one, None, "", 0), (3, None, 0, "", 0), (4, [0.0] * 3, 0, "", 0), (5, [1.0, None, 3.0], 0, "", 0), (6, [], 0, "", 0)]
