@@ -13,6 +13,7 @@ sees the distinct headers, and file names only where there are several of them.
 from __future__ import annotations
 
 import io
+import math
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -27,6 +28,8 @@ ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs":
 #: Compressions in which Hadoop frames blocks in a way of its own; such files are opened by Hadoop.
 HADOOP_ONLY = (".deflate", ".snappy", ".lz4", ".lzo")
 HEADERS = "path string, header string, opened boolean"
+#: Folders that one task of ``write_delimited`` writes, about; each costs milliseconds, however little is in it.
+FOLDERS_PER_TASK = 500
 
 
 def _arrow_file(path: str) -> tuple[pafs.FileSystem, str] | None:
@@ -144,12 +147,20 @@ def read_delimited(
 
 def write_delimited(df: DataFrame, path: str, *, sep: str = ";", compression: str | None = None,
                     partition_cols: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Write a raw-shaped table as delimited text with a header (for landing and tests)."""
+    """Write a raw-shaped table as delimited text with a header (for landing and tests).
+
+    With ``partition_cols`` one file lands in each folder. Where there are many folders, the tasks are as many as these need:
+    adaptive execution would merge them by their bytes, and small objects would be written one by one in one task.
+    """
     w = df.write.mode(mode).option("header", True).option("sep", sep)
     if compression:
         w = w.option("compression", compression)
     if partition_cols:
-        df.repartition(*partition_cols).write.mode(mode).option("header", True).option("sep", sep).option(
+        folders = df.select(F.approx_count_distinct(F.xxhash64(*partition_cols))).first()[0]
+        tasks = math.ceil(folders / FOLDERS_PER_TASK)
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = df.repartition(max(tasks, least), *partition_cols) if tasks > 1 else df.repartition(*partition_cols)
+        dealt.write.mode(mode).option("header", True).option("sep", sep).option(
             "compression", compression or "none"
         ).partitionBy(*partition_cols).csv(path)
         return

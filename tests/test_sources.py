@@ -103,7 +103,7 @@ def _landed(root, files):
 
 
 def test_headers_are_read_in_tasks(spark, tmp_path, monkeypatch):
-    from obsmatch.sources import delimited
+    from obsmatch.sources import delimited, layout
 
     def refuse(*_):
         raise AssertionError("the driver opened a file")
@@ -148,3 +148,15 @@ def test_files_that_only_hadoop_opens(spark, tmp_root):
     write_delimited(spark.createDataFrame([("1", "x")], "k string, v string"), f"{tmp_root}/a", compression="deflate")
     write_delimited(spark.createDataFrame([("y", "2")], "v string, k string"), f"{tmp_root}/b", compression="bzip2")
     assert sorted(tuple(r) for r in read_delimited(spark, tmp_root).select("k", "v").collect()) == [("1", "x"), ("2", "y")]
+
+
+def test_many_small_folders_are_written_by_several_tasks(spark, tmp_root, monkeypatch):
+    from obsmatch.sources import delimited, layout
+
+    monkeypatch.setattr(delimited, "FOLDERS_PER_TASK", 10, raising=False)
+    rows = [(f"{i % 7:02d}", f"r{i}", str(i)) for i in range(60)]
+    write_delimited(spark.createDataFrame(rows, "department string, resource string, body string"), tmp_root, partition_cols=["department", "resource"])
+    files = layout.landed_files(spark, tmp_root).collect()
+    assert sorted((f["department"], f["resource"]) for f in files) == sorted((d, r) for d, r, _ in rows)
+    tasks = [f["file_name"].split("-")[1] for f in files]
+    assert len(set(tasks)) > 4 and max(tasks.count(t) for t in tasks) < 30
