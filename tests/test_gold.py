@@ -89,3 +89,23 @@ def test_year_partitions_of_weather_are_pruned(spark, tmp_root):
     assert (r["weather_timestamp"], r["temperature"]) == (T(2024, 1, 1, 10, 0), 1.0)
     scans = [line for line in seen[0].split("\n") if "FileScan" in line and "PartitionFilters" in line]
     assert any("year" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+
+
+def test_candidates_compute_times_once_per_row_not_per_pair(spark):
+    from obsmatch.plans.queries_gold import _candidates
+
+    at = dt.datetime(1969, 12, 31, 23, 59, 30)
+    acc = [("1", at, 45.0, 1.0), ("1", at, 45.5, 1.0), (None, at + dt.timedelta(seconds=45), 45.0, 1.0), ("2", None, 45.0, 1.0)]
+    a = spark.createDataFrame(acc, "accident_id string, accident_timestamp timestamp_ntz, latitude double, longitude double")
+    secs = [-7201, -7200, -7199, -60, -59, 0, 59, 60, 7199, 7200, 7201]
+    obs = [("s", "S", at + dt.timedelta(seconds=s), 45.0, 1.0, float(s)) for s in secs]
+    w = spark.createDataFrame(obs, "station_id string, station_name string, observation_timestamp timestamp_ntz, latitude double, longitude double, temperature double")
+    got = _candidates(a, w)
+    want = []
+    for key, ts in (("1", at), (None, at + dt.timedelta(seconds=45))):
+        gaps = [(o[2] - ts, o) for o in obs if abs(o[2] - ts) <= dt.timedelta(hours=2)]
+        want += [(key, "s", o[2], int(gap.total_seconds() / 60), o[5]) for gap, o in gaps]
+    want.append(("2", "s", None, None, None))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "timestampdiff" not in plan[: plan.index("Join")].lower()
