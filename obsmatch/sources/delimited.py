@@ -21,7 +21,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmatch.session import materialize_observed
+from obsmatch.session import materialize_observed, scratch_path
 
 #: Scheme names of Hadoop that the file systems of Arrow call otherwise.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfss": "abfss"}
@@ -30,9 +30,11 @@ HADOOP_ONLY = (".deflate", ".snappy", ".lz4", ".lzo")
 HEADERS = "path string, header string, opened boolean"
 #: Folders that one task of ``write_delimited`` writes, about; each costs milliseconds, however little is in it.
 FOLDERS_PER_TASK = 500
+#: Folders that one job of ``write_delimited`` writes, about; the driver keeps kilobytes for each until the job is committed.
+FOLDERS_PER_JOB = 20_000
 
 
-def _arrow_file(path: str) -> tuple[pafs.FileSystem, str] | None:
+def arrow_file(path: str) -> tuple[pafs.FileSystem, str] | None:
     """The file system and the name in it of a Hadoop path; None if Arrow has none for its scheme."""
     scheme, colon, rest = path.partition(":")
     if not colon or "/" in scheme:
@@ -52,7 +54,7 @@ def _first_filled(lines: Iterator[str]) -> str | None:
 
 def _header(path: str) -> tuple[str | None, bool]:
     """(header line, None in a file of blank lines; whether the file could be opened in a task)."""
-    found = None if path.endswith(HADOOP_ONLY) else _arrow_file(path)
+    found = None if path.endswith(HADOOP_ONLY) else arrow_file(path)
     if found is None:
         return None, False
     with found[0].open_input_stream(found[1], compression="detect", buffer_size=1 << 16) as stream:
@@ -150,18 +152,32 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = ";", compression: st
     """Write a raw-shaped table as delimited text with a header (for landing and tests).
 
     With ``partition_cols`` one file lands in each folder. Where there are many folders, the tasks are as many as these need:
-    adaptive execution would merge them by their bytes, and small objects would be written one by one in one task.
+    adaptive execution would merge them by their bytes, and small objects would be written one by one in one task. Beyond
+    ``FOLDERS_PER_JOB`` the rows are dealt out by their folder and land in several jobs, so that the driver holds one job's folders only.
     """
     w = df.write.mode(mode).option("header", True).option("sep", sep)
     if compression:
         w = w.option("compression", compression)
     if partition_cols:
         folders = df.select(F.approx_count_distinct(F.xxhash64(*partition_cols))).first()[0]
-        tasks = math.ceil(folders / FOLDERS_PER_TASK)
+        # "ignore" decides once whether anything is written.
+        jobs = 1 if mode == "ignore" else max(1, math.ceil(folders / FOLDERS_PER_JOB))
+        tasks = math.ceil(folders / jobs / FOLDERS_PER_TASK)
         least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = df.repartition(max(tasks, least), *partition_cols) if tasks > 1 else df.repartition(*partition_cols)
-        dealt.write.mode(mode).option("header", True).option("sep", sep).option(
-            "compression", compression or "none"
-        ).partitionBy(*partition_cols).csv(path)
+        for part in [df] if jobs == 1 else _dealt(df, partition_cols, jobs):
+            spread = part.repartition(max(tasks, least), *partition_cols) if tasks > 1 else part.repartition(*partition_cols)
+            spread.write.mode(mode).option("header", True).option("sep", sep).option(
+                "compression", compression or "none"
+            ).partitionBy(*partition_cols).csv(path)
+            mode = "append"
         return
     w.csv(path)
+
+
+def _dealt(df: DataFrame, partition_cols: Sequence[str], jobs: int) -> list[DataFrame]:
+    """``df``, written once, in ``jobs`` parts by the hash of its folders."""
+    dealt = scratch_path(df.sparkSession, "landing")
+    job = F.pmod(F.xxhash64(*partition_cols), F.lit(jobs)).cast("int")
+    df.withColumn("_landing_job", job).write.partitionBy("_landing_job").parquet(dealt)
+    rows = df.sparkSession.read.parquet(dealt)
+    return [rows.where(F.col("_landing_job").cast("int") == i).drop("_landing_job") for i in range(jobs)]

@@ -160,3 +160,39 @@ def test_many_small_folders_are_written_by_several_tasks(spark, tmp_root, monkey
     assert sorted((f["department"], f["resource"]) for f in files) == sorted((d, r) for d, r, _ in rows)
     tasks = [f["file_name"].split("-")[1] for f in files]
     assert len(set(tasks)) > 4 and max(tasks.count(t) for t in tasks) < 30
+
+
+def test_driver_holds_neither_all_folders_nor_all_files(spark, tmp_root, monkeypatch):
+    """Folders land in several jobs and are listed in tasks: the same files, values and columns as Spark's index finds."""
+    from obsmatch.sources import delimited, layout
+
+    monkeypatch.setattr(delimited, "FOLDERS_PER_JOB", 15, raising=False)
+    odd = ["a b", "x/y", "100%", "k=v", "é:ü", "%41", "q?#", None]
+    rows = [(f"{i % 7:02d}", f"r{i}", str(i)) for i in range(60)] + [(d, r, "odd") for d in ("01", None) for r in odd]
+    df = spark.createDataFrame(rows, "department string, resource string, body string")
+    write_delimited(df, tmp_root, partition_cols=["department", "resource"])
+    files = layout.landed_files(spark, tmp_root)
+    assert not [f for f in files.inputFiles() if "resource=" in f]
+    found = files.collect()
+    assert sorted((str(f["department"]), str(f["resource"])) for f in found) == sorted((str(d), str(r)) for d, r, _ in rows)
+    assert len({f["file_name"].split("-", 2)[2] for f in found}) > 1
+    index = spark.read.format("binaryFile").option("basePath", tmp_root).load(tmp_root)
+    assert sorted(map(repr, files.select("path", "size_bytes", "department", "resource").collect())) == sorted(
+        map(repr, index.selectExpr("path", "length as size_bytes", "department", "resource").collect())
+    )
+    write_delimited(df.limit(1), tmp_root, partition_cols=["department", "resource"])
+    assert layout.landed_files(spark, tmp_root).count() == 1
+
+
+def test_files_left_out_of_the_list(spark, tmp_path):
+    from obsmatch.sources import layout
+
+    _landed(tmp_path, {"k=1/a.csv": b"x", "k=1/empty.csv": b"", "k=1/.hidden": b"x", "k=1/_tmp": b"x", "k=2/sub/b.csv": b"xy", "_SUCCESS": b"x", "_old/c.csv": b"x", "top.csv": b"x"})
+    got = layout.landed_files(spark, str(tmp_path)).collect()
+    assert sorted((f["k"], f["file_name"], f["size_bytes"]) for f in got) == [("1", "a.csv", 1), ("2", "b.csv", 2)]
+    _landed(tmp_path, {"none/_SUCCESS": b"", "l=1/a.csv": b"x"})
+    assert layout.landed_files(spark, f"{tmp_path}/none").count() == 0
+    with pytest.raises(Exception, match="partition columns"):
+        layout.landed_files(spark, str(tmp_path))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        layout.landed_files(spark, f"{tmp_path}/missing")
